@@ -17,6 +17,9 @@ from .common import table
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .ngram_join import ngram_join
+from .quality import fit_quality, score_quality
+from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import SiteRule, filter_urls
 
 #: Fixed rules of the URL query.
@@ -44,11 +47,39 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), SITE_RULES).withColumnRenamed("id", "page_id")
 
 
+def _fold(count: int, key: str = "doc_id"):
+    return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(count))
+
+
+#: A score from here on predicts label 1.
+THRESHOLD = 0.3
+
+
+def _scored(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), _fold(5) != 0)
+    return _scored(score_quality(docs, model), _fold(5, "id") == 0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), _fold(4) != 2)
+    return _scored(score_toxicity(docs, model), _fold(4, "id") == 2)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per contaminated document and benchmark item."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 #: A conversation whose texts hold the template's own control strings.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -65,6 +96,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_exact_dedup": op1_exact_dedup, "op2_bpe": op2_bpe, "op3_url_filter": op3_url_filter, "op7_decontaminate": op7_decontaminate,
-        "op9_chat_format": op9_chat_format, "op10_line_dedup": op10_line_dedup,
+        "op1_exact_dedup": op1_exact_dedup, "op2_bpe": op2_bpe, "op3_url_filter": op3_url_filter, "op4_quality": op4_quality,
+        "op5_toxicity": op5_toxicity, "op7_decontaminate": op7_decontaminate,
+        "op8_ngram_join": op8_ngram_join, "op9_chat_format": op9_chat_format, "op10_line_dedup": op10_line_dedup,
     }

@@ -72,8 +72,8 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return raw, at
 
 
-def slices(column, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows lo..hi of the column with their bytes, about ``limit`` bytes at a time.
+def slices(column, limit: int = CHUNK, rows: int = 1 << 14) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows lo..hi of the column with their bytes, about ``limit`` bytes and at most ``rows`` rows at a time.
 
     A row is never cut; one that is longer than the limit comes alone.
     """
@@ -81,7 +81,7 @@ def slices(column, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, n
     lo, n = 0, len(at) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(at, at[lo] + limit, side="right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, n, lo + rows)
         yield lo, hi, data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
         lo = hi
 
@@ -150,8 +150,8 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, k: int = 5) -> list[np.ndarra
         if b - a >= k:
             out.append(distinct(grams[a : b - k + 1]))
         elif b > a:
-            short = np.sum(words[a:b] * _GRAM[8 : 8 + b - a], dtype=U64) + U64(b - a)
-            out.append(mix(np.array([short], U64)))
+            short = np.sum(words[a:b] * _GRAM[8 : 8 + b - a], dtype=U64, keepdims=True) + np.full(1, b - a, U64)
+            out.append(mix(short))
         else:
             out.append(np.zeros(0, U64))
     return out
