@@ -18,6 +18,7 @@ from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .ngram_join import ngram_join
+from .pii import KINDS, find_pii, joined_spans
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import SiteRule, filter_urls
@@ -71,6 +72,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(score_toxicity(docs, model), _fold(4, "id") == 2)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents")).withColumns({"b": joined_spans("base"), "a": joined_spans("spans")})
+    counts = [F.expr(f"size(filter(base, x -> x.kind = {n}))").cast("long").alias(f"n_{k}") for n, k in enumerate(KINDS)]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2("b", 256).alias("base_sha256"), F.col("a").alias("spans"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per contaminated document and benchmark item."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -97,6 +110,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup, "op2_bpe": op2_bpe, "op3_url_filter": op3_url_filter, "op4_quality": op4_quality,
-        "op5_toxicity": op5_toxicity, "op7_decontaminate": op7_decontaminate,
-        "op8_ngram_join": op8_ngram_join, "op9_chat_format": op9_chat_format, "op10_line_dedup": op10_line_dedup,
+        "op5_toxicity": op5_toxicity, "op6_pii": op6_pii, "op7_decontaminate": op7_decontaminate,
+        "op8_ngram_join": op8_ngram_join, "op9_chat_format": op9_chat_format, "op10_line_dedup": op10_line_dedup, "pipeline": pipeline,
     }
