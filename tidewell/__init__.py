@@ -1,0 +1 @@
+"""Tidewell: aligning sparse labelled anchors with dense sensor streams, on Spark."""
