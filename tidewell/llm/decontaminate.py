@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import no_null
 from .vec import slices
 
-EDIT_RATE = 0.06
+EDIT_RATE = 0.08
 MIN_CHARS = 40
 #: Bytes of test items that are searched at a time; more come in further passes.
 BLOCK_BYTES = 16 << 20
