@@ -119,7 +119,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
     """(id, text, label) of at most ``rows`` labelled documents: those whose hashed ids come first."""
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn)
     marked = marked.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.ceil(F.avg(label_col)).cast("int").alias("label"))
-    chosen = marked.orderBy(F.xxhash64("id"), "id").limit(rows)
+    there = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null")
+    chosen = marked.join(there, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(rows)
     source = docs.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"))
     return source.join(F.broadcast(chosen), "id")
 
