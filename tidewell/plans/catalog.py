@@ -398,3 +398,110 @@ def octal_padding(spark, sf_dir):
 @query("session_gap", f"WITH {IMG} SELECT stream_id, image_token, sum(CASE WHEN delta_us > {GAP_US} THEN 1 ELSE 0 END) OVER (PARTITION BY stream_id ORDER BY stream_index ROWS UNBOUNDED PRECEDING)::BIGINT AS segment FROM img")
 def session_gap(spark, sf_dir):
     return streams.sessions(images(spark, sf_dir), ["stream_id"], F.col("delta_us") > GAP_US).select("stream_id", "image_token", "segment")
+
+
+@query("violation_report", f"""WITH {IMG} SELECT 'stream.cadence' AS rule, count(*) AS violations FROM img WHERE delta_us < {SHORT_US} OR delta_us <= 0 HAVING count(*) > 0
+    UNION ALL SELECT 'lineitem.unique', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) HAVING count(*) > 0
+    UNION ALL SELECT 'labels.document', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) HAVING count(*) > 0""")
+def violation_report(spark, sf_dir):
+    from .rules import Rules, missing_files, text_key, unique
+
+    rules = Rules(spark).add("stream.cadence", streams.short_intervals(images(spark, sf_dir), SHORT_US, 0), text_key("stream_id", "image_token"))
+    unique(rules, "lineitem", read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    rules.extend(missing_files(spark, read(spark, sf_dir, "labels").select(F.col("doc_id").alias("path")), read(spark, sf_dir, "documents").select(F.col("doc_id").alias("path")), "labels.document"))
+    return rules.violations().groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))
+
+
+@query("storage_plan", """WITH t AS (SELECT doc_id, source, n_chars, n_chars % 3 = 0 AS kept FROM documents)
+    SELECT doc_id, CASE WHEN kept THEN 'existing' ELSE 'pack' END AS storage_kind,
+    CASE WHEN NOT kept THEN coalesce(sum(n_chars) OVER (PARTITION BY source, kept ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT END AS pack_offset FROM t""")
+def storage_plan(spark, sf_dir):
+    from .ledger import plan_packs
+
+    docs = read(spark, sf_dir, "documents")
+    located = docs.select(
+        F.concat(F.lit("public/train_set/sensors_train_camera_"), F.substring("source", 4, 9), F.lit(".zip")).alias("archive_key"), F.col("doc_id").cast("string").alias("member_name"),
+        F.concat(F.lit("sensor_blobs/"), F.col("doc_id").cast("string")).alias("destination"), F.col("n_chars").alias("member_size"), (F.col("doc_id") * 512).alias("header_offset"), (F.col("doc_id") * 512 + 512).alias("data_offset"),
+    )
+    existing = docs.where("n_chars % 3 = 0").select(F.concat(F.lit("sensor_blobs/"), F.col("doc_id").cast("string")).alias("path"), F.col("n_chars").alias("length"))
+    return plan_packs(located, existing).select(F.col("member_name").cast("bigint").alias("doc_id"), "storage_kind", "pack_offset")
+
+
+@query("snapshot_choice", """SELECT max(lang) AS snapshot FROM (SELECT lang FROM documents GROUP BY lang HAVING count(DISTINCT source) = 20 AND count(*) > 0)""")
+def snapshot_choice(spark, sf_dir):
+    from .ledger import newest_complete
+
+    states = read(spark, sf_dir, "documents").select(F.col("lang").alias("snapshot"), F.col("source").alias("archive_key"), F.lit("complete").alias("status"), F.lit(1).alias("target_total"), F.lit(1).alias("target_done")).distinct()
+    return spark.createDataFrame([(newest_complete(states, 20),)], "snapshot string")
+
+
+@query("tar_roundtrip")
+def tar_roundtrip(spark, sf_dir):
+    """Documents written to TAR archives in memory and walked again, an archive a task; every member must come back as it went in."""
+
+    def walk(key, docs):
+        import io
+        import tarfile
+
+        import pandas as pd
+
+        from ..sources.ranges import MemoryClient
+        from ..sources.tar import TarArchive
+
+        out = io.BytesIO()
+        with tarfile.open(fileobj=out, mode="w", format=tarfile.USTAR_FORMAT) as tar:
+            for r in docs.sort_values("doc_id").itertuples():
+                info = tarfile.TarInfo(f"{r.doc_id}.txt")
+                info.size = len(r.content)
+                tar.addfile(info, io.BytesIO(r.content))
+        archive, held = TarArchive(MemoryClient({"a": out.getvalue()}), "a"), {f"{r.doc_id}.txt": r.content for r in docs.itertuples()}
+        rows = [(int(m.name[:-4]), m.size, m.header_offset, m.data_offset, archive.read(m) == held[m.name]) for m in archive.members()]
+        return pd.DataFrame(rows, columns=["doc_id", "size", "header_offset", "data_offset", "same"])
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("archive"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    return docs.groupBy("archive").applyInPandas(walk, "doc_id bigint, size bigint, header_offset bigint, data_offset bigint, same boolean")
+
+
+@query("zip_directory")
+def zip_directory(spark, sf_dir):
+    """Pages written to ZIP archives in memory; the central directory as rows."""
+
+    def walk(key, pages):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        from ..sources.ranges import MemoryClient
+        from ..sources.zips import ZipArchive
+
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for r in pages.sort_values("page_id").itertuples():
+                z.writestr(f"{r.page_id}.html", r.content)
+        archive = ZipArchive(MemoryClient({"a": out.getvalue()}), "a")
+        rows = [(int(m.name[:-5]), m.method, m.size, m.compressed_size, m.crc32, len(archive.read(m)) == m.size) for m in archive.members()]
+        return pd.DataFrame(rows, columns=["page_id", "method", "size", "compressed_size", "crc32", "whole"])
+
+    pages = read(spark, sf_dir, "pages").select("page_id", F.pmod(F.xxhash64("page_id"), F.lit(16)).alias("archive"), F.col("html").cast("binary").alias("content"))
+    return pages.groupBy("archive").applyInPandas(walk, "page_id bigint, method bigint, size bigint, compressed_size bigint, crc32 bigint, whole boolean")
+
+
+@query("incremental_equals_batch", "SELECT user_id, count(*) AS n, max(value) AS largest FROM events GROUP BY 1")
+def incremental_equals_batch(spark, sf_dir):
+    """Events taken in through a committed ledger by a stream that stops when all is read, then aggregated."""
+    import tempfile
+    import uuid
+
+    from ..streaming.incremental import Ledger, run_available
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or (tempfile.mkdtemp(prefix="tidewell-") if spark.conf.get("spark.master", "").startswith("local[") else None)
+    if shared is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    # a streaming source lists files: tables that are one file are named by a pattern, and folders are taken as they are
+    table = read(spark, sf_dir, "events")
+    source = spark.readStream.schema(table.schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 64)
+    stream = source.parquet(f"{sf_dir}/event[s].parquet")
+    ledger = Ledger(spark, f"{shared.rstrip('/')}/incremental-{uuid.uuid4().hex}", {"source": f"{sf_dir}/events.parquet"})
+    run_available(stream, ledger)
+    return ledger.rows().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("largest"))

@@ -6,7 +6,7 @@ with the first and last position in the channel's stream.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +55,14 @@ class Plan:
 def plan_histories(
     spark: SparkSession, rows: DataFrame, native: NativeLogs, tokens: DataFrame, scene_filter_sha256: str, channels: Sequence[str] = CHANNELS,
     cadence_tolerance_us: int = TOLERANCE_US, retained_tolerance_us: int = TOLERANCE_US, two_hz_tolerance_us: int = TOLERANCE_US,
-    max_anchors: int | None = None, history: int = HISTORY_ROWS, future: int = FUTURE_ROWS,
+    max_anchors: int | None = None, history: int = HISTORY_ROWS, future: int = FUTURE_ROWS, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> Plan:
-    """The plan of all requested anchors, with the rules that must hold before it is published."""
+    """The plan of all requested anchors, with the rules that must hold before it is published.
+
+    Streams, anchors, matches and ranges are each used by several tables and
+    rules; ``keep`` may write them once and give back what was written (see
+    ``publish.Scratch``), which also cuts their lineage.
+    """
     partial = max_anchors is not None
     wanted = tokens.select(S.token_norm("token").alias("token")).distinct()
     picked = rows.withColumn("token", F.lower("token")).join(wanted, "token", "left_semi")
@@ -66,7 +71,7 @@ def plan_histories(
     if partial:
         first = ranking.prefix(first, ["log_name", "row_index"], max_anchors)
         wanted = first.select("token")
-    stream = native.stream(channels)
+    stream = keep(native.stream(channels), "stream")
     rules = R.anchor_log_rules(spark, rows, native.log, wanted, history, future, partial)
     rules.extend(R.stream_rules(spark, stream, tolerance=cadence_tolerance_us))
 
@@ -75,14 +80,15 @@ def plan_histories(
     base = first.join(timed, ["log_name", "row_index"]).select(
         F.col("token").alias("anchor_token"), "log_name", F.lower("log_token").alias("log_token"), F.lower("scene_token").alias("scene_token"), F.col("ts_us").alias("anchor_ts_us"), "row_index", "history_start_ts_us", "lidar_path"
     )
-    anchors = histories.resolve_lidar(base, native.lidar)
+    anchors = keep(histories.resolve_lidar(base, native.lidar), "anchors")
+    base = anchors.select(*base.columns)
     rules.extend(R.lidar_rules(spark, anchors))
 
     # the rows that anchors retain, once each, by channel
     needed = base.select("log_name", "anchor_token", F.explode(F.sequence(F.col("row_index") - (history - 1), "row_index")).alias("row_index"))
     each = rows.join(needed.select("log_name", "row_index").distinct(), ["log_name", "row_index"], "left_semi")
     by_channel = each.select("log_name", "row_index", "ts_us", F.explode(F.array(*map(F.lit, channels))).alias("channel"), "cams").withColumn("data_path", S.cam_path("cams", "channel")).drop("cams")
-    matches = histories.retained_match(by_channel, stream, retained_tolerance_us)
+    matches = keep(histories.retained_match(by_channel, stream, retained_tolerance_us), "matches")
     ends = needed.join(matches, ["log_name", "row_index"]).groupBy("anchor_token", "log_name", "channel").agg(
         F.min_by("image_token", "row_index").alias("start_image_token"), F.min_by("image_ts_us", "row_index").alias("start_image_ts_us"), F.min_by("stream_index", "row_index").alias("first_stream_index"),
         F.max_by("image_token", "row_index").alias("end_image_token"), F.max_by("image_ts_us", "row_index").alias("end_image_ts_us"), F.max_by("stream_index", "row_index").alias("last_stream_index"),
@@ -90,11 +96,11 @@ def plan_histories(
     )
     # times in a stream are strictly increasing (a rule), so the window by time is the range by position between its ends
     inside = F.size(F.filter("_kept", lambda i: i.between(F.col("first_stream_index"), F.col("last_stream_index"))))
-    ranges = ends.withColumns({"frame_count": F.col("last_stream_index") - F.col("first_stream_index") + 1, "retained_inside": inside, "history_start_ts_us": F.col("start_image_ts_us"), "history_end_ts_us": F.col("end_image_ts_us")})
+    ranges = keep(ends.withColumns({"frame_count": F.col("last_stream_index") - F.col("first_stream_index") + 1, "retained_inside": inside, "history_start_ts_us": F.col("start_image_ts_us"), "history_end_ts_us": F.col("end_image_ts_us")}), "ranges")
     rules.extend(R.range_rules(spark, ranges, matches, history))
 
     counted = streams.reference_counts(stream, ranges.select("log_name", "channel", "first_stream_index", "last_stream_index"), ["log_name", "channel"])
-    images = counted.where("reference_count > 0").withColumnRenamed("reference_count", "anchor_reference_count").select(*columns("native_image"))
+    images = keep(counted.where("reference_count > 0").withColumnRenamed("reference_count", "anchor_reference_count").select(*columns("native_image")), "images")
     inventory = images.select(F.lit(FORMATS["inventory"]).alias("format"), F.lit(scene_filter_sha256).alias("scene_filter_sha256"), *columns("inventory")[2:])
     rules.extend(R.reconciliation_rules(spark, anchors, ranges, images, inventory, len(channels)))
     logs = base.select("log_name", "log_token").distinct().withColumn("native_db_relative_path", F.concat(F.col("log_name"), F.lit(".db")))

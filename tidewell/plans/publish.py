@@ -65,6 +65,20 @@ def row_digest(df: DataFrame) -> tuple[int, str]:
     return total[0], hashlib.sha256(f"{total[0]}:{total[1]}:{total[2]}".encode()).hexdigest()
 
 
+class Scratch:
+    """Intermediate tables of one run below a folder that all executors share; give ``keep`` to a planner."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self) -> None:
+        Store(self.spark, self.path).delete(self.path)
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, product: str, rules: Callable[[dict[str, DataFrame]], object] | None = None, facts: dict | None = None) -> dict:
     """Write, check, rename; returns the manifest.  ``rules`` makes Rules of the tables as read back.  An existing product is never replaced."""
     store = Store(spark, path)

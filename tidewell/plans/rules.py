@@ -46,12 +46,14 @@ class Rules:
         shown = ranking.first_offenders(found.where("key is not null"), "rule", "key", 8)
         return found.groupBy("rule").agg(F.count(F.lit(1)).alias("violations")).join(shown, "rule", "left")
 
-    def enforce(self, what: str) -> None:
-        """Raises RuleViolation, with the offenders of each rule, if any row is left."""
-        rows = self.summary().orderBy("rule").collect()
-        if rows:
-            text = "; ".join(f"{r['rule']}: {r['violations']} ({', '.join(r['shown'] or [])})" for r in rows)
-            raise RuleViolation(f"{what}: {text}", rows)
+    def enforce(self, what: str, most: int = 1000) -> None:
+        """Raises RuleViolation with offenders of each rule if any row is left.  One evaluation; at most ``most`` rows come to the driver."""
+        found: dict[str, list] = {}
+        for r in self.violations().limit(most).collect():
+            found.setdefault(r["rule"], []).append(r["key"])
+        if found:
+            text = "; ".join(f"{rule}: {len(keys)} ({', '.join(sorted(k or '' for k in keys)[:8])})" for rule, keys in sorted(found.items()))
+            raise RuleViolation(f"{what}: {text}", found.items())
 
 
 def text_key(*columns: str) -> Column:
@@ -172,7 +174,7 @@ def listing_rules(spark, archives: DataFrame, listing: DataFrame) -> Rules:
     both = archives.join(now, "archive_key", "left")
     rules = Rules(spark)
     rules.add("archive.listed", both.where("size_now is null or size_now <= 0"), "archive_key")
-    rules.add("archive.unchanged", both.where((F.col("listed_size") != F.col("size_now")) | ~S.etag_norm("etag").eqNullSafe(F.col("etag_now"))), "archive_key")
+    rules.add("archive.unchanged", both.where("size_now is not null").where((F.col("listed_size") != F.col("size_now")) | ~S.etag_norm("etag").eqNullSafe(F.col("etag_now"))), "archive_key")
     return rules
 
 

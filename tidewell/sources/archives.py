@@ -2,16 +2,13 @@
 
     spark.dataSource.register(ArchiveMembers)
     spark.read.format("archive_members").option("kind", "tar").option("root", dir).option("paths", "a.tar,b.tar").load()
-
-The streaming reader walks on from the header offset that its checkpoint
-holds, at most ``maxHeaders`` headers of an archive at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .ranges import FileClient
 from .tar import TarArchive
@@ -21,14 +18,12 @@ SCHEMA = "archive_key string, member_name string, typeflag string, member_size b
 
 
 class ArchivePart(InputPartition):
-    def __init__(self, path: str, start: int = 0, end: int | None = None):
-        self.path, self.start, self.end = path, start, end
+    def __init__(self, path: str):
+        self.path = path
 
 
-def tar_rows(client, path: str, start: int = 0, end: int | None = None) -> Iterator[tuple]:
-    for m in TarArchive(client, path).members(start):
-        if end is not None and m.header_offset >= end:
-            return
+def tar_rows(client, path: str, start: int = 0, most: int | None = None) -> Iterator[tuple]:
+    for m in TarArchive(client, path).members(start, most):
         yield path, m.name, m.typeflag, m.size, None, m.header_offset, m.data_offset, m.next_header_offset
 
 
@@ -48,37 +43,6 @@ class _Reader(DataSourceReader):
         yield from (zip_rows if self.kind == "zip" else tar_rows)(FileClient(self.root), part.path)
 
 
-class _StreamReader(DataSourceStreamReader):
-    """Offsets are the next header of each archive; with Trigger.AvailableNow or a timer, every batch walks on."""
-
-    def __init__(self, options):
-        self.root, self.paths, self.most = options["root"], [p for p in options["paths"].split(",") if p], int(options.get("maxHeaders", "1000"))
-        self.next: dict[str, int] = {}
-
-    def initialOffset(self):
-        return {p: 0 for p in self.paths}
-
-    def latestOffset(self):
-        now = self.next or self.initialOffset()
-        out = {}
-        for p in self.paths:
-            at = now[p]
-            for m in TarArchive(FileClient(self.root), p).members(at, self.most):
-                at = m.next_header_offset
-            out[p] = at
-        self.next = out
-        return out
-
-    def partitions(self, start, end):
-        return [ArchivePart(p, start[p], end[p]) for p in self.paths if end[p] > start[p]]
-
-    def read(self, part):
-        yield from tar_rows(FileClient(self.root), part.path, part.start, part.end)
-
-    def commit(self, end):
-        pass
-
-
 class ArchiveMembers(DataSource):
     @classmethod
     def name(cls):
@@ -90,8 +54,19 @@ class ArchiveMembers(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
-    def streamReader(self, schema):
-        return _StreamReader(self.options)
+
+def walk_on(progress, root: str, most: int):
+    """Up to ``most`` further members of each archive of (archive_key, next_header_offset), one task an archive."""
+
+    def walk(batches):
+        import pandas as pd
+
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        for batch in batches:
+            for path, start in zip(batch["archive_key"], batch["next_header_offset"]):
+                yield pd.DataFrame(tar_rows(FileClient(root), path, int(start), most), columns=names).astype({"crc32": "Int64"})
+
+    return progress.select("archive_key", "next_header_offset").mapInPandas(walk, SCHEMA)
 
 
 def read_payloads(members, root: str):

@@ -79,9 +79,9 @@ class TarArchive:
             block = self.reader.read(at, BLOCK)
             if not any(block):
                 return
-            member = parse_header(block, at, self.reader.size)
-            if member.typeflag.encode("latin-1") in EXTENSIONS:
+            if block[156:157] in EXTENSIONS:
                 raise ArchiveError(f"extension header at {at}")
+            member = parse_header(block, at, self.reader.size)
             yield member
             at, seen = member.next_header_offset, seen + 1
 

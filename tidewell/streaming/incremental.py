@@ -58,15 +58,22 @@ def run_available(stream: DataFrame, ledger: Ledger, transform: Callable[[DataFr
     query.awaitTermination()
 
 
-def scan_archives(spark: SparkSession, root: str, paths: list[str], ledger: Ledger, max_headers: int = 1000) -> None:
-    """Walk on through TAR archives for one bounded step of each; offsets are in the checkpoint."""
-    from ..sources.archives import ArchiveMembers
-
-    spark.dataSource.register(ArchiveMembers)
-    stream = spark.readStream.format("archive_members").option("root", root).option("paths", ",".join(paths)).option("maxHeaders", str(max_headers)).load()
-    query = stream.writeStream.foreachBatch(ledger.write).option("checkpointLocation", f"{ledger.path}/checkpoint").start()
-    query.processAllAvailable()
-    query.stop()
+def scan_archives(spark: SparkSession, root: str, paths: list[str], ledger: Ledger, max_headers: int = 1000) -> bool:
+    """One bounded step through every TAR archive, from where the committed rows end; True when all are at their end.
+
+    Archives are walked in parallel, a task each.  What a crashed step wrote
+    without its marker is written again by the next.
+    """
+    from ..sources.archives import walk_on
+
+    start = spark.createDataFrame([(p, 0) for p in paths], "archive_key string, next_header_offset bigint")
+    held = ledger.rows()
+    if held is not None:
+        start = start.select("archive_key").join(held.groupBy("archive_key").agg(F.max("next_header_offset").alias("at")), "archive_key", "left").select("archive_key", F.coalesce("at", F.lit(0)).alias("next_header_offset"))
+    number = max(ledger.committed(), default=-1) + 1
+    ledger.write(walk_on(start.repartition(max(1, len(paths)), "archive_key"), root, max_headers), number)
+    steps = spark.read.parquet(f"{ledger.path}/batches/batch={number}").groupBy("archive_key").count()
+    return steps.where(F.col("count") >= max_headers).isEmpty()
 
 
 def sessions(events: DataFrame, key: str, ts: str, gap: str, watermark: str) -> DataFrame:
