@@ -34,8 +34,9 @@ SAMPLE_ROWS = 8192
 BINS = 1 << 20
 TERMS = 1024
 FACTORS = 8
-ROUNDS = 120
-PREFIX = 6
+ROUNDS = 200
+#: Bytes of a word's heads that are terms beside the word, so that forms of a word not seen in the sample count.
+PREFIXES = (4, 5)
 BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 19
 
 #: ASCII letters and digits, and every byte of other characters.
@@ -57,10 +58,12 @@ def term_bins(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     start, end = np.flatnonzero(inside & before), np.flatnonzero(inside & after) + 1
     sums = prefix_sums(data, LUT)
     row = np.searchsorted(at, start, side="right") - 1
-    long = np.flatnonzero(end - start > PREFIX)
-    words = range_hashes(sums, start, end) % U64(BINS // 2)
-    heads = range_hashes(sums, start[long], start[long] + PREFIX) % U64(BINS // 2) + U64(BINS // 2)
-    keys = np.unique(np.concatenate((row * BINS + words.astype(np.int64), row[long] * BINS + heads.astype(np.int64))))
+    keys = [row * BINS + (range_hashes(sums, start, end) % U64(BINS // 2)).astype(np.int64)]
+    for size in PREFIXES:
+        long = np.flatnonzero(end - start > size)
+        heads = range_hashes(sums, start[long], start[long] + size) % U64(BINS // 2) + U64(BINS // 2)
+        keys.append(row[long] * BINS + heads.astype(np.int64))
+    keys = np.unique(np.concatenate(keys))
     return keys // BINS, keys % BINS
 
 
@@ -77,18 +80,20 @@ class FactorizationMachine:
         total = np.bincount(bins, minlength=BINS)
         with_label = np.bincount(bins[positive[rows]], minlength=BINS)
         seen = np.flatnonzero(total >= 3)
-        # log-odds of the label given the term, against the rest, over its standard error
-        a, b = with_label[seen] + 0.5, total[seen] - with_label[seen] + 0.5
-        c, d = positive.sum() - with_label[seen] + 0.5, (~positive).sum() - (total[seen] - with_label[seen]) + 0.5
-        z = np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-        slot = np.sort(seen[np.lexsort((seen, -np.abs(z)))][:terms])
+        # likelihood ratio of term and label: sound for terms that one label never has
+        a, both = with_label[seen].astype(float), total[seen].astype(float)
+        tie = np.zeros(len(seen))
+        for count, out_of in ((a, positive.sum()), (both - a, n - positive.sum())):
+            for cell, share in ((count, both), (out_of - count, n - both)):
+                tie += cell * np.log(np.maximum(cell, 1e-300) * n / np.maximum(share * out_of, 1e-300))
+        slot = np.sort(seen[np.lexsort((seen, -tie))][:terms])
         x = np.zeros((n, len(slot)), np.float32)
         at = np.searchsorted(slot, bins)
         held = (at < len(slot)) & (slot[np.minimum(at, max(0, len(slot) - 1))] == bins) if len(slot) else np.zeros(len(bins), bool)
         x[rows[held], at[held]] = 1
         rate = min(max(labels.mean(), 1e-3), 1 - 1e-3)
         theta = [np.array([np.log(rate / (1 - rate))], np.float32), np.zeros(len(slot), np.float32), (np.random.default_rng(0).standard_normal((len(slot), factors)) * 0.02).astype(np.float32)]
-        decay, moments = (0.0, 2e-4, 1e-3), [(np.zeros_like(t), np.zeros_like(t)) for t in theta]
+        decay, moments = (0.0, 5e-5, 5e-4), [(np.zeros_like(t), np.zeros_like(t)) for t in theta]
         xt = np.ascontiguousarray(x.T)
         for step in range(1, rounds + 1):
             sums = x @ theta[2]
