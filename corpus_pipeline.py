@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.bpe import bpe_encode, load_ranks
 from tidewell.llm.common import Workspace, table
-from tidewell.llm.decontaminate import find_leaks
+from tidewell.llm.decontaminate import drop_leaks
 from tidewell.llm.line_dedup import line_dedup
 from tidewell.llm.ngram_join import ngram_join
-from tidewell.llm.quality import fit_quality, score_quality
+from tidewell.llm.quality import fit_quality, keep_good
 from tidewell.llm.queries import THRESHOLD, VOCABULARY
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,27 +25,26 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts as label 1."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    good = score_quality(docs, model).where(F.col("score") >= THRESHOLD).select(F.col("id").alias("doc_id"))
-    return docs.join(good.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    return keep_good(docs.select(*COLUMNS), model, THRESHOLD)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; ``n_chars`` follows the text."""
-    kept = line_dedup(docs).select(F.col("id").alias("doc_id"), "text")
-    new = docs.drop("text", "n_chars").join(kept, "doc_id").withColumn("n_chars", F.length("text").cast("long"))
-    return new.select(*COLUMNS)
+    kept = line_dedup(docs, keep=("lang", "source"))
+    return kept.select(F.col("id").alias("doc_id"), "text", "rest.lang", "rest.source", F.length("text").cast("long").alias("n_chars"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one with the least id stays."""
-    stay = ngram_join(docs).where(F.col("id") == F.col("component")).select(F.col("id").alias("doc_id"))
-    return docs.join(stay.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    work = Workspace(spark, "near-duplicates")
+    # written, so that its size is known when the join is planned: small, it is broadcast and no text moves
+    drop = work.keep(ngram_join(docs, work=work).where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct(), "dropped")
+    return docs.select(*COLUMNS).join(drop, "doc_id", "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item go."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    return drop_leaks(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,6 +86,8 @@ def test_classifiers(spark, odd, none):
         assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
         assert score(none, fit(none, labels, F.lit(True))).collect() == []
         assert len(score(odd, fit(odd, labels, F.lit(False))).collect()) == len(ODD)
+    model = quality.fit_quality(odd, labels, F.lit(True))
+    assert quality.keep_good(odd, model, 0.5).count() == quality.score_quality(odd, model).where("score >= 0.5").count() and quality.keep_good(none, model, 0.5).collect() == []
     assert quality.fit_quality(odd, labels, F.lit(True), sample_rows=1).vectors.shape[0] == 1
 
 
@@ -109,7 +111,8 @@ def test_decontaminate(spark, odd, none):
     docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([(50, "Before. " + item.replace("brown", "brawn") + " After."), (51, item[:30])], "doc_id long, text string"))
     assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.find_leaks(docs, bench).collect()) == [(50, 1, 1), (50, 2, 1)]
     assert sorted(r["item_id"] for r in decontaminate.find_leaks(docs, bench, block_bytes=10).collect()) == [1, 2]
-    assert decontaminate.find_leaks(none, bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
+    assert sorted(r["doc_id"] or 0 for r in decontaminate.drop_leaks(docs, bench, block_bytes=10).collect()) == sorted(i or 0 for i, _ in [*ODD, (51, "")])
+    assert decontaminate.drop_leaks(none, bench).collect() == [] and decontaminate.find_leaks(none, bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
 
 
 def test_components(spark):

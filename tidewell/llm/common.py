@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,21 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
+def filter_rows(df: DataFrame, text_col: str, make_judge: Callable[[], Callable[[pa.Array], np.ndarray]]) -> DataFrame:
+    """The rows whose text is judged true, with all their columns, in place: nothing is shuffled or joined.
+
+    ``make_judge`` is called once a task; a judge maps a column of texts to booleans.
+    """
+    at, names = df.columns.index(text_col), df.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = make_judge()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, names).filter(pa.array(judge(batch.column(at)), pa.bool_()))
+
+    return df.mapInArrow(keep, df.schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

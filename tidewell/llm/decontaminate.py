@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import no_null
+from .common import filter_rows, no_null
 from .vec import slices
 
 EDIT_RATE = 0.08
@@ -126,19 +126,11 @@ class LeakFinder:
         return found
 
 
-def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    rate: float = EDIT_RATE, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES,
-) -> DataFrame:
-    """(doc_id, item_id, distance, end) for each document and item that it leaks.
-
-    Items are broadcast in blocks of at most ``block_bytes`` (one item at
-    least), each block a pass over the documents.
-    """
-    spark = docs.sparkSession
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, min_chars: int, block_bytes: int) -> list[list[tuple]]:
+    """Test items in normal form, in blocks that are small enough to broadcast."""
     blocks: list[list] = [[]]
     size = 0
-    for item, text in benchmark.select(F.col(item_col).cast("long"), no_null(item_text_col)).orderBy(item_col).toLocalIterator():
+    for item, text in benchmark.select(F.col(item_col).cast("long"), no_null(text_col)).orderBy(item_col).toLocalIterator():
         text = normalise(text)
         if len(text) < min_chars:
             continue
@@ -147,6 +139,36 @@ def find_leaks(
             size = 0
         blocks[-1].append((item, text))
         size += len(text)
+    return blocks
+
+
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = EDIT_RATE, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows that leak no item, with all their columns."""
+    for block in item_blocks(benchmark, item_col, item_text_col, min_chars, block_bytes):
+        if block:
+            shared = docs.sparkSession.sparkContext.broadcast(block)
+
+            def make_judge(shared=shared):
+                finder = LeakFinder(shared.value, rate)
+                return lambda texts: np.array([not finder.search(t) for _, _, data, at in slices(texts) for t in normalise_rows(data, at)], bool)
+
+            docs = filter_rows(docs, text_col, make_judge)
+    return docs
+
+
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    rate: float = EDIT_RATE, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """(doc_id, item_id, distance, end) for each document and item that it leaks.
+
+    Items are broadcast in blocks of at most ``block_bytes`` (one item at
+    least), each block a pass over the documents.
+    """
+    spark = docs.sparkSession
+    blocks = item_blocks(benchmark, item_col, item_text_col, min_chars, block_bytes)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), no_null(text_col).alias("text"))
     out = None
     for block in blocks:

@@ -20,7 +20,7 @@ are returned; no rows give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -156,12 +156,13 @@ def _emit(ids, data, at, row, start, end, drop) -> list[tuple]:
     return out
 
 
-_KEPT = "id long, n_lines long, n_dropped long, text string"
+def _kept(docs: DataFrame) -> str:
+    return f"id long, n_lines long, n_dropped long, text string, rest {docs.schema['rest'].dataType.simpleString()}"
 
 
-def _record(rows: list[tuple]) -> pa.RecordBatch:
+def _record(rows: list[tuple], rest: pa.Array) -> pa.RecordBatch:
     ids, lines, gone, kept = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["id", "n_lines", "n_dropped", "text"])
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), rest], ["id", "n_lines", "n_dropped", "text", "rest"])
 
 
 def _drop_broadcast(docs: DataFrame, hot: DataFrame, min_chars: int) -> DataFrame:
@@ -182,9 +183,9 @@ def _drop_broadcast(docs: DataFrame, hot: DataFrame, min_chars: int) -> DataFram
                 for k in range(repeats):
                     slot = np.minimum(where + k, len(run1) - 1)
                     gone |= key & (run1[slot] == a) & (run2[slot] == b) & (holder[slot] != ids[row])
-                yield _record(_emit(names[lo:hi], data, at, row, start, end, gone))
+                yield _record(_emit(names[lo:hi], data, at, row, start, end, gone), batch.column(2)[lo:hi])
 
-    return docs.mapInArrow(drop, _KEPT)
+    return docs.mapInArrow(drop, _kept(docs))
 
 
 def _drop_joined(docs: DataFrame, hot: DataFrame, min_chars: int, work: Workspace) -> DataFrame:
@@ -198,7 +199,7 @@ def _drop_joined(docs: DataFrame, hot: DataFrame, min_chars: int, work: Workspac
                 nth = np.arange(len(row)) - np.searchsorted(row, row)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[lo + row[key]], nth[key], a[key], b[key])], ["id", "nth", "h1", "h2"])
 
-    lines = docs.where("id is not null").mapInArrow(explode, "id long, nth long, h1 long, h2 long")
+    lines = docs.where("id is not null").select("id", "text").mapInArrow(explode, "id long, nth long, h1 long, h2 long")
     gone = lines.join(hot.hint("merge"), ["h1", "h2"]).where("id <> last").groupBy("id").agg(F.collect_list("nth").alias("gone"))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,23 +210,23 @@ def _drop_joined(docs: DataFrame, hot: DataFrame, min_chars: int, work: Workspac
                 mark, first = np.zeros(len(row), bool), np.searchsorted(row, np.arange(hi - lo))
                 for r in range(hi - lo):
                     mark[[first[r] + n for n in lists[lo + r].as_py() or []]] = True
-                yield _record(_emit(names[lo:hi], data, at, row, start, end, mark))
+                yield _record(_emit(names[lo:hi], data, at, row, start, end, mark), batch.column(3)[lo:hi])
 
-    return docs.join(gone, "id", "left").select("id", "text", "gone").mapInArrow(drop, _KEPT)
+    return docs.join(gone, "id", "left").select("id", "text", "gone", "rest").mapInArrow(drop, _kept(docs))
 
 
 def line_dedup(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-    batches: int = BATCHES, broadcast_keys: int = BROADCAST_KEYS, work: Workspace | None = None,
+    batches: int = BATCHES, broadcast_keys: int = BROADCAST_KEYS, work: Workspace | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, n_lines, n_dropped, text): each document with its repeated lines gone."""
+    """(id, n_lines, n_dropped, text, rest): each document with its repeated lines gone; ``rest`` is a struct of its columns ``keep``."""
     spark = df.sparkSession
     work = work or Workspace(spark, "line-dedup")
-    docs = df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"))
+    docs = df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"), F.struct(*keep, F.lit(True).alias("_row")).alias("rest"))
     lo, hi = docs.agg(F.min("id"), F.max("id")).first()
     lo, hi = lo or 0, hi or 0
     bounds = [lo + (hi - lo) * (k + 1) // batches for k in range(batches - 1)]
-    counts = work.keep(batch_counts(docs, bounds, min_chars), "lines")
+    counts = work.keep(batch_counts(docs.drop("rest"), bounds, min_chars), "lines")
     runs = LineRuns(spark, work)
     for k in range(batches):
         runs.add(counts.where(F.col("batch") == k).drop("batch"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import no_null
+from .common import filter_rows, no_null
 from .vec import LUT, U64, mix, prefix_sums, range_hashes, slices, word_ranges
 
 SAMPLE_ROWS = 4096
@@ -157,3 +157,14 @@ def score_quality(docs: DataFrame, model: LatentModel, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(shared.value.score(term_counts(data, at)), pa.float64())], ["id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text")).mapInArrow(score, "id long, score double")
+
+
+def keep_good(docs: DataFrame, model: LatentModel, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows with at least this score, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(texts: pa.Array) -> np.ndarray:
+        parts = [shared.value.score(term_counts(data, at)) >= threshold for _, _, data, at in slices(texts, BLOCK_BYTES, BLOCK_ROWS)]
+        return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+    return filter_rows(docs, text_col, lambda: judge)
