@@ -241,3 +241,27 @@ def test_publish_discards_on_violation(spark, tmp_path):
     import hashlib
 
     assert ordered_digest(rows.limit(1), ["destination"], "destination") == hashlib.sha256(b"d\n").hexdigest()
+
+
+def test_scene_filter_and_listing(spark, tmp_path):
+    import hashlib
+
+    text = "num_history_frames: 4\nnum_future_frames: 10\nlog_names: [log_a, log_b]\ntokens: [AB, cd]\n"
+    (tmp_path / "f.yaml").write_text(text)
+    got = readers.load_scene_filter(spark, str(tmp_path / "f.yaml"), 4, 10)
+    assert got["sha256"] == hashlib.sha256(text.encode()).hexdigest() and {r[0] for r in got["tokens"].collect()} == {"ab", "cd"}
+    with pytest.raises(SchemaMismatch):
+        readers.load_scene_filter(spark, str(tmp_path / "f.yaml"), 3, 10)
+    (tmp_path / "files/a").mkdir(parents=True)
+    (tmp_path / "files/a/x.jpg").write_bytes(b"123")
+    assert [(r["path"], r["length"]) for r in readers.file_listing(spark, str(tmp_path / "files")).collect()] == [("a/x.jpg", 3)]
+    assert readers.file_hashes(spark, str(tmp_path / "files/a/x.jpg")).first()["sha256"] == hashlib.sha256(b"123").hexdigest()
+
+
+def test_audit_rules(spark):
+    token = lambda *names: spark.createDataFrame([(n,) for n in names], "token string")
+    anchors = spark.createDataFrame([("aa", "l", "bb", "cc", 5, 3)], "anchor_token string, log_name string, log_token string, scene_token string, anchor_ts_us bigint, row_index bigint")
+    raw = spark.createDataFrame([("AA", "l", "BB", "CC", 5, 3)], "token string, log_name string, log_token string, scene_token string, ts_us bigint, row_index bigint")
+    assert broken(R.audit_rules(spark, token("aa"), token("aa"), token("aa"), anchors, raw, True)) == set()
+    found = broken(R.audit_rules(spark, token("aa", "zz"), token("aa", "bb"), token("yy"), anchors, raw.withColumn("ts_us", F.lit(6)), True))
+    assert found == {"audit.official", "audit.requested", "audit.full", "audit.provenance"}
