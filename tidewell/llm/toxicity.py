@@ -33,6 +33,8 @@ from .vec import LUT, U64, prefix_sums, range_hashes, slices
 SAMPLE_ROWS = 8192
 BINS = 1 << 20
 TERMS = 1024
+#: Likelihood ratio (chi-square scale) from which a term counts as tied to the label; so many of the best go in at least.
+LEAST_TIE, FEW_TERMS = 8.0, 64
 FACTORS = 8
 ROUNDS = 200
 #: Bytes of a word's heads that are terms beside the word, so that forms of a word not seen in the sample count.
@@ -86,7 +88,8 @@ class FactorizationMachine:
         for count, out_of in ((a, positive.sum()), (both - a, n - positive.sum())):
             for cell, share in ((count, both), (out_of - count, n - both)):
                 tie += cell * np.log(np.maximum(cell, 1e-300) * n / np.maximum(share * out_of, 1e-300))
-        slot = np.sort(seen[np.lexsort((seen, -tie))][:terms])
+        by_tie = np.lexsort((seen, -tie))
+        slot = np.sort(seen[by_tie[: max(FEW_TERMS, int((2 * tie >= LEAST_TIE).sum()))]][:terms])
         x = np.zeros((n, len(slot)), np.float32)
         at = np.searchsorted(slot, bins)
         held = (at < len(slot)) & (slot[np.minimum(at, max(0, len(slot) - 1))] == bins) if len(slot) else np.zeros(len(bins), bool)
