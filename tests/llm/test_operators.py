@@ -221,6 +221,22 @@ def test_chat(spark):
     assert chat.read_back(chat.format_chats(df.limit(0))).collect() == []
 
 
+def test_chat_windows_keep_to_the_budget_in_tokens(spark):
+    import public_tokenizers
+
+    random.seed(6)
+    rows = [(c, k, ("system", "user", "assistant")[min(k, 1 + k % 2)], " ".join(random.choice(("größe", "наука", "<|", "q7!x", "word")) for _ in range(random.randint(1, 40)))) for c in range(4) for k in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    encoder = bpe.TextEncoder(ranks, bpe.KNOWN_PATTERN)
+    for r in chat.format_chats(df, budget=600, history=150).collect():
+        turns = list(chat._TURN.finditer(r["text"]))
+        tokens = [len(encoder.encode(m[0])) // 4 for m in turns]
+        assert sum(tokens) == len(encoder.encode(r["text"])) // 4
+        assert sum(tokens) <= 600 or len(turns) - r["n_repeated"] == 1
+        assert sum(tokens[1 : r["n_repeated"]]) <= 150
+
+
 def test_queries_against_sql(spark, data):
     import glob
     import os

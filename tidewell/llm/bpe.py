@@ -35,6 +35,8 @@ from .vec import byte_values, prefix_sums, range_hashes, slices
 
 _BYTES = byte_values(3, lower=False)
 
+#: The public vocabulary that the queries use.
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces that a worker remembers; then it starts over.
 CACHE_PIECES = 500_000
 #: Token pairs of which it remembers whether they can be neighbours.
@@ -321,6 +323,14 @@ class TextEncoder:
 _workers: dict[str, TextEncoder] = {}
 
 
+def text_encoder(vocabulary: dict[bytes, int], unmade: frozenset[int], pattern: str) -> TextEncoder:
+    """The encoder that this worker keeps for the pattern; made anew for another vocabulary."""
+    worker = _workers.get(pattern)
+    if worker is None or worker.encoder.ranks != vocabulary:
+        worker = _workers[pattern] = TextEncoder(vocabulary, pattern, unmade)
+    return worker
+
+
 def _batches(columns: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
     """Rows, the last field of each being the large one, in batches of bounded size."""
     held, size = [], 0
@@ -343,9 +353,7 @@ def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, unmade = shared.value
-        worker = _workers.get(pattern)
-        if worker is None or worker.encoder.ranks != vocabulary:
-            worker = _workers[pattern] = TextEncoder(vocabulary, pattern, unmade)
+        worker = text_encoder(vocabulary, unmade, pattern)
 
         def rows():
             for batch in batches:

@@ -1,6 +1,9 @@
 """Chat formatting in budgeted windows.
 
-Token counts of a conversation's turns are summed up in turn order.  Windows
+Token counts of a conversation's turns are summed up in turn order.  A turn
+counts the tokens of its whole template, marks and role included, encoded with
+the vocabulary; the tokenizer's pattern cuts pieces where a template ends and
+the next begins, so a window has exactly the sum of its turns' tokens.  Windows
 are spans of whole turns that fit the budget: each begins with the system turn
 (if the conversation opens with one) and repeats as many of the turns before
 it as the history budget takes.  Only turns that a window brings for the first
@@ -29,7 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import KNOWN_PATTERN, VOCABULARY, load_ranks, text_encoder, unmade_tokens
 from .common import Workspace
+from .vec import slices
 
 BUDGET = 2048
 HISTORY = 512
@@ -54,6 +59,11 @@ def unescape_role(role: str) -> str:
     return unescape(role).replace("%0A", "\n").replace("%25", "%")
 
 
+def template(role: str, text: str) -> tuple[str, str, str]:
+    """Head, body and tail of a turn."""
+    return f"{START}{escape_role(role)}\n", escape(text), f"{END}\n"
+
+
 def choose_windows(turns: Iterator[tuple], budget: int, history: int) -> Iterator[tuple]:
     """(turn, conversation, window, position, repeated) from (turn, conversation, tokens, is system), sorted within whole conversations.
 
@@ -102,22 +112,40 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield from zip(*(c.to_pylist() for c in batch.slice(k, 256).columns))
 
 
-def format_chats(df: DataFrame, budget: int = BUDGET, history: int = HISTORY, work: Workspace | None = None) -> DataFrame:
+def count_tokens(turns: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """Adds ``tokens``, the number of tokens of a turn's template, to (row, conv_id, turn, role, text)."""
+    shared, names = turns.sparkSession.sparkContext.broadcast((ranks, unmade_tokens(ranks))), [*turns.columns, "tokens"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = text_encoder(*shared.value, KNOWN_PATTERN)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                whole = pa.array(["".join(template(*x)) for x in zip(part.column(3).to_pylist(), part.column(4).to_pylist())], pa.large_string())
+                tokens = [len(ids) // 4 for _, _, data, at in slices(whole) for ids in worker.encode_rows(data, at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(tokens, pa.int64())], names)
+
+    return turns.mapInArrow(count, "row long, conv_id long, turn long, role string, text string, tokens long")
+
+
+def format_chats(df: DataFrame, budget: int = BUDGET, history: int = HISTORY, work: Workspace | None = None, ranks: dict[bytes, int] | None = None) -> DataFrame:
     """(conv_id, window, n_repeated, text, loss_start, loss_end): each window's text and the spans (code points) under its loss mask.
 
     Texts are dealt out by conversation and window, so a conversation of any
     length is formatted by many tasks; only its token counts, one small row a
-    turn, pass through one.
+    turn, pass through one.  Without ``ranks`` tokens are those of VOCABULARY.
     """
+    if ranks is None:
+        import public_tokenizers
+
+        ranks = load_ranks(public_tokenizers.path(VOCABULARY))
     work = work or Workspace(df.sparkSession, "chat")
-    turns = work.keep(
-        df.select(
-            F.monotonically_increasing_id().alias("row"), F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-            F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-        ), "turns",
+    turns = df.select(
+        F.monotonically_increasing_id().alias("row"), F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    # about four bytes make a token, and a turn's marks eight
-    small = turns.select("row", "conv_id", "turn", "role", F.xxhash64("text").alias("x"), (8 + F.octet_length("text") / 4).cast("long").alias("tokens"))
+    turns = work.keep(count_tokens(turns, ranks), "turns")
+    small = turns.select("row", "conv_id", "turn", "role", F.xxhash64("text").alias("x"), "tokens")
     small = small.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "x", "row").select("row", "conv_id", "tokens", (F.col("role") == "system").alias("is_system"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,13 +162,13 @@ def format_chats(df: DataFrame, budget: int = BUDGET, history: int = HISTORY, wo
         for (conv, window), rows in groupby(_rows(batches), key=lambda r: r[:2]):
             parts, at, repeated, start, end = [], 0, 0, [], []
             for _, _, again, role, text in rows:
-                head, body = f"{START}{escape_role(role)}\n", escape(text)
+                head, body, tail = template(role, text)
                 if again:
                     repeated += 1
                 elif role == "assistant":
                     start.append(at + len(head))
                     end.append(at + len(head) + len(body))
-                parts.append(f"{head}{body}{END}\n")
+                parts.append(f"{head}{body}{tail}")
                 at += len(parts[-1])
             out.append((conv, window, repeated, "".join(parts), start, end))
             size += at

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import bpe_decode, bpe_encode, load_ranks
+from .bpe import VOCABULARY, bpe_decode, bpe_encode, load_ranks
 from .chat import format_chats, read_back
 from .common import table
 from .decontaminate import find_leaks
@@ -25,7 +25,6 @@ from .url_filter import SiteRule, filter_urls
 
 #: Fixed rules of the URL query.
 SITE_RULES = [SiteRule("org", "/", "allow"), SiteRule("example.org", "/es/", "block"), SiteRule("example.org", "/en/1", "block"), SiteRule("com", "/fr/", "allow"), SiteRule("com", "/de/", "block")]
-VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
