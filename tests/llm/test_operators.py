@@ -105,6 +105,19 @@ def test_pii(spark, odd, none):
     assert cleaned[20] == "[EMAIL][EMAIL] [IP].[IP] 300.1.1.1 é [PHONE] é [CARD] x 4845168114407328"
 
 
+def test_pii_adds_what_the_base_cannot_hold(spark):
+    plain = [f"write to user{k}@site{k}.org or +1 (692) 555-{7000 + k} or 4845168114407329 or 10.1.{k}.7 today" for k in range(20)]
+    added = ["bob (at) mail (dot) com", "bob[at]mail[dot]com", "bob(at)mail.com", "(692) 555-7565", "692-555-7565", "030 1234567", "4845.1681.1440.7329", "10[.]1[.]2[.]3"]
+    left = ["2024-01-15 10", "1998-2004", "12.3456789", "1500 3000", "4845.1681.1440.7328", "me (at) home", "(2005) 1234-1238", "123456789", "1, 2, 3, 4", "1.234.567,89"]
+    docs = [*plain, *(f"é so {x}. Then" for x in (*added, *left))]
+    rows = {r["id"]: r for r in pii.find_pii(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    for k, x in enumerate(added, len(plain)):
+        assert not rows[k]["base"] and [docs[k][s:e] for _, s, e in rows[k]["spans"]] == [x], x
+    for k, x in enumerate(left, len(plain) + len(added)):
+        assert not rows[k]["spans"], x
+    assert all(rows[k]["spans"] == rows[k]["base"] and len(rows[k]["base"]) == 4 for k in range(len(plain)))
+
+
 def test_decontaminate(spark, odd, none):
     item = "The quick brown fox jumps over the lazy dog while nobody looks."
     bench = spark.createDataFrame([(1, item), (2, item.upper()), (3, None), (4, "short")], "item_id long, text string")

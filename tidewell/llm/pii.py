@@ -3,11 +3,16 @@
 Strict patterns give the base spans.  High-recall generators propose further
 spans, which may overlap the base and each other: spelt-out e-mail addresses,
 and digit groups with any separators, read as an IP address, a card or a phone
-number.  A candidate's format (digits, separators, check digit) and context
-(the words before it, the characters around it) are bits of a small code.
+number.  A candidate's normal form (spelt-out marks undone, separators
+stripped; check digit, octets, digit counts, grouping) and context (the words
+before it, the characters around it) are bits of a small code.  What only base
+spans have, such as the '+' of a telephone number, is no bit of its own.
 Boosted trees are fitted to the codes: the corpus is counted by code (at most
-CODES rows leave the cluster, whatever its size), a candidate that holds a
-base span of its kind being a positive.  The trees become nested CASE
+CODES rows leave the cluster, whatever its size).  Positives hold a base span
+of their kind or are well-formed in normal form; negatives are ill-formed, part
+of a longer word, or overlap only base spans of another kind.  Well-formed
+national telephone numbers with neither an area code in brackets nor a telling
+context have no label: they are scored, but neither fitted nor calibrated on.  The trees become nested CASE
 expressions, and the score from which on spans are redacted is calibrated on
 the counts to a precision.
 
@@ -40,14 +45,14 @@ BASE = {
 }
 #: Texts in which a pattern cannot match are not searched.
 NEEDS = {"email": "instr(text, '@') > 0", "ip": "text rlike '[0-9][.][0-9]'", "card": "text rlike '[0-9][ -]?[0-9]'", "phone": "text rlike '[+][0-9]'"}
-WIDE_EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)*+"
-WIDE_DIGITS = r"[+(]?[0-9](?:[\x20().,/\[\]-]{0,3}+[0-9])++"
+WIDE_EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?:(?:\.| \. | ?(?:\(dot\)|\[dot\]|\{dot\}) ?)[A-Za-z0-9-]++)*+"
+WIDE_DIGITS = r"[+(]?[0-9](?:(?![.,]\x20)[\x20().,/\[\]-]{0,3}+[0-9])++"
 WIDE_NEEDS = {"email": "instr(text, '@') > 0 or instr(text, 'at)') > 0 or instr(text, 'at]') > 0 or instr(text, 'at}') > 0", "digits": "text rlike '[0-9][^A-Za-z]{0,3}[0-9]'"}
 CONTEXT_WORDS = "mail|phone|tel|call|fax|mobile|card|visa|credit|addr|host|server| ip"
 CONTEXT_CHARS = 30
 
 #: Feature bits below the kind, least first.
-BITS = ("valid", "plus", "paren", "dot", "gap", "context", "before", "after", "sixteen")
+BITS = ("valid", "shape", "context", "before", "after", "sixteen")
 CODES = len(KINDS) << len(BITS)
 ROUNDS, RATE, DEPTH = 24, 0.4, 2
 PRECISION = 0.95
@@ -94,26 +99,48 @@ BASE_VALID = {
 }
 
 
+def _rlike(x: str, pattern: str) -> str:
+    return f"({x} rlike {_quote(pattern)})"
+
+
+#: A candidate e-mail address with its spelt-out marks undone.
+PLAIN_EMAIL = f"regexp_replace(regexp_replace(x.m, {_quote(r' ?(?:@|[(]at[)]|\[at\]|[{]at[}]) ?')}, '@'), {_quote(r' [.] | ?(?:[(]dot[)]|\[dot\]|[{]dot[}]) ?')}, '.')"
+_CONTEXT = f"lower(substring(text, greatest(x.s - {CONTEXT_CHARS} + 1, 1), least(x.s, {CONTEXT_CHARS}))) rlike '{CONTEXT_WORDS}'"
+#: Telephone numbers without '+': an area code in brackets, groups of 3, 3 and 4, or a leading zero (in one run only where the context says so).
+NATIONAL = (
+    r"^(?:[0-9]{1,3}[ .-]?)?[(](?!(?:19|20)[0-9]{2}[)])0?[0-9]{1,5}[)][ ./-]{0,2}[0-9]{2,8}(?:[ .-][0-9]{2,5})*$",
+    r"^(?:[0-9]{1,3}[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}$",
+    r"^0[0-9]{1,4}[ ./-][0-9]{3,8}(?:[ .-][0-9]{2,5})*$",
+    r"^0[0-9](?:[ .-][0-9]{2}){4}$",
+)
+SHAPES = {
+    "email": _rlike(PLAIN_EMAIL, r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+$"),
+    "ip": _rlike("x.m", r"^[0-9]+(?:(?:[.]|\[[.]\]|[(][.][)]| [.] )[0-9]+){3}$"),
+    "card": f"({_rlike('x.m', r'^[0-9](?:[ -]?[0-9])+$')} OR {_rlike('x.m', r'^[0-9]{4}([^0-9]{1,3})[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1?[0-9]{1,3})?$')})",
+    "phone": f"(startswith(x.m, '+') OR {' OR '.join(_rlike('x.m', p) for p in NATIONAL)} OR x.m rlike '^0[0-9]{{8,12}}$' AND {_CONTEXT})",
+}
+#: Well-formed candidates that count as positives without a base span.  Other national numbers have no label: they are scored only.
+STRONG = {"email": "true", "ip": "true", "card": "true", "phone": f"(startswith(x.m, '(') OR {_CONTEXT})"}
+
+
 def _bits_sql(kind: str) -> str:
-    digits = _digits("x.m")
-    valid = {
-        "email": "x.m rlike '(?:[.]|[(\\\\[{]dot[)\\\\]}]) ?[A-Za-z]{2,}$'",
-        "ip": _octets("x.m"),
-        "card": f"(length({digits}) BETWEEN 16 AND 19 AND {luhn_sql(digits)})",
-        "phone": f"(length({digits}) BETWEEN 8 AND 15)",
-    }[kind]
+    valid = BASE_VALID[kind] if kind != "email" else _rlike(PLAIN_EMAIL, "[.][A-Za-z]{2,}$")
     around = {"before": "x.s > 0 AND substring(text, x.s, 1) rlike '[A-Za-z0-9]'", "after": "substring(text, x.e + 1, 1) rlike '[A-Za-z0-9]'"}
-    tests = {
-        "valid": valid, "plus": "startswith(x.m, '+')", "paren": "instr(x.m, '(') > 0", "dot": "instr(x.m, '.') > 0",
-        "gap": "x.m rlike '[ -]'",
-        "context": f"lower(substring(text, greatest(x.s - {CONTEXT_CHARS} + 1, 1), least(x.s, {CONTEXT_CHARS}))) rlike '{CONTEXT_WORDS}'",
-        "sixteen": f"length({digits}) = 16", **around,
-    }
+    tests = {"valid": valid, "shape": SHAPES[kind], "context": _CONTEXT, "sixteen": f"length({_digits('x.m')}) = 16", **around}
     return " + ".join([str(KINDS.index(kind) << len(BITS)), *(f"CASE WHEN {tests[b]} THEN {1 << k} ELSE 0 END" for k, b in enumerate(BITS))])
 
 
+def _label_sql(kind: int) -> str:
+    """Of a candidate z: true, false or null."""
+    bit = {b: 1 << k for k, b in enumerate(BITS)}
+    form, glued = bit["valid"] | bit["shape"], bit["before"] | bit["after"]
+    return f"""CASE WHEN exists(base, b -> b.kind = {kind} AND b.s >= z.s AND b.e <= z.e) THEN true
+        WHEN exists(base, b -> b.s < z.e AND z.s < b.e) OR (z.code & {form}) <> {form} OR (z.code & {glued}) <> 0 THEN false
+        WHEN z.strong THEN true END"""
+
+
 def find_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, candidates): base spans (kind, s, e), and proposed spans with their code and whether they hold a base span of their kind."""
+    """(id, base, candidates): base spans (kind, s, e), and proposed spans with their code and label."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"))
     found = docs.select(
         "id", "text", *(F.expr(spans_sql(BASE[k], NEEDS[k])).alias(f"raw_{k}") for k in KINDS),
@@ -128,7 +155,7 @@ def find_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "card": f"filter(wide_digits, x -> {length} BETWEEN 13 AND 19)", "phone": f"filter(wide_digits, x -> {length} BETWEEN 7 AND 15)",
     }
     parts = ", ".join(
-        f"transform({sets[k]}, x -> named_struct('kind', {n}, 's', x.s, 'e', x.e, 'code', CAST({_bits_sql(k)} AS INT), 'y', exists(base, b -> b.kind = {n} AND b.s >= x.s AND b.e <= x.e)))"
+        f"transform(transform({sets[k]}, x -> named_struct('s', x.s, 'e', x.e, 'code', CAST({_bits_sql(k)} AS INT), 'strong', {STRONG[k]})), z -> named_struct('kind', {n}, 's', z.s, 'e', z.e, 'code', z.code, 'y', {_label_sql(n)}))"
         for n, k in enumerate(KINDS)
     )
     return found.select("id", "base", F.expr(f"concat({parts})").alias("candidates"))
@@ -205,7 +232,7 @@ class BoostedTrees:
 
 
 def fit_trees(found: DataFrame) -> BoostedTrees:
-    counts = found.select(F.explode("candidates").alias("c")).groupBy("c.code").agg(F.count(F.lit(1)).alias("n"), F.count_if("c.y").alias("p"))
+    counts = found.select(F.explode("candidates").alias("c")).where("c.y is not null").groupBy("c.code").agg(F.count(F.lit(1)).alias("n"), F.count_if("c.y").alias("p"))
     return BoostedTrees.fit([(r["code"], r["n"], r["p"]) for r in counts.collect()])
 
 
