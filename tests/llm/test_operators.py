@@ -203,6 +203,22 @@ def test_line_dedup(spark, broadcast, batches):
     assert got == brute_lines(docs)
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_line_dedup_of_null_and_repeated_ids(spark, broadcast):
+    other = "Some other line that is long enough to be taken for one."
+    docs = [(k, f"{LINE}\n{k}") for k in range(5)] + [(k, f"{k}\n{other}") for k in range(5)] + [(None, f"x\n{LINE}"), (None, LINE), (7, LINE), (7, f"{LINE}\nb\n{LINE}"), (6, LINE), (6, "a\nb\nc\n" + LINE), (6, other)]
+    docs += [(None, f"{k} a line that only rows without an id hold, five of them\na line that only rows without an id hold, five of them") for k in range(5)]
+    docs += [(i, t) for i, t in ODD]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(docs)], "doc_id long, text string, n long").repartition(3)
+    got = {r["rest"]["n"]: (r["id"], r["n_dropped"], r["text"]) for r in line_dedup.line_dedup(df, broadcast_keys=broadcast, keep=("n",)).collect()}
+    last = {LINE: 7, other: 6}
+    for n, (i, t) in enumerate(docs):
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if last.get(x, i) == i]
+        assert got[n] == (i, len(lines) - len(kept), "\n".join(kept)), (n, i)
+    assert len(got) == len(docs)
+
+
 def test_line_runs(spark, odd, none):
     work = Workspace(spark, "test")
     runs = line_dedup.LineRuns(spark, work, fan_in=2)

@@ -189,18 +189,20 @@ def _drop_broadcast(docs: DataFrame, hot: DataFrame, min_chars: int) -> DataFram
 
 
 def _drop_joined(docs: DataFrame, hot: DataFrame, min_chars: int, work: Workspace) -> DataFrame:
-    """The same with joins only, for dropped keys of any number.  Ids must be distinct and not null here."""
+    """The same with joins only, for dropped keys of any number.  Lines are found again by a row number that is written first, as ids may repeat or be null."""
+    docs = work.keep(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, _, data, at in slices(batch.column(1)):
+            rows, ids = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(2))
+            for lo, _, data, at in slices(batch.column(2)):
                 row, _, _, key, a, b = line_keys(data, at, min_chars)
                 nth = np.arange(len(row)) - np.searchsorted(row, row)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[lo + row[key]], nth[key], a[key], b[key])], ["id", "nth", "h1", "h2"])
+                own = lo + row[key]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rows[own], ids[own], nth[key], a[key], b[key])], ["row", "id", "nth", "h1", "h2"])
 
-    lines = docs.where("id is not null").select("id", "text").mapInArrow(explode, "id long, nth long, h1 long, h2 long")
-    gone = lines.join(hot.hint("merge"), ["h1", "h2"]).where("id <> last").groupBy("id").agg(F.collect_list("nth").alias("gone"))
+    lines = docs.select("row", F.coalesce("id", F.lit(NO_ID)).alias("id"), "text").mapInArrow(explode, "row long, id long, nth long, h1 long, h2 long")
+    gone = lines.join(hot.hint("merge"), ["h1", "h2"]).where("id <> last").groupBy("row").agg(F.collect_list("nth").alias("gone"))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +214,7 @@ def _drop_joined(docs: DataFrame, hot: DataFrame, min_chars: int, work: Workspac
                     mark[[first[r] + n for n in lists[lo + r].as_py() or []]] = True
                 yield _record(_emit(names[lo:hi], data, at, row, start, end, mark), batch.column(3)[lo:hi])
 
-    return docs.join(gone, "id", "left").select("id", "text", "gone", "rest").mapInArrow(drop, _kept(docs))
+    return docs.join(gone, "row", "left").select("id", "text", "gone", "rest").mapInArrow(drop, _kept(docs))
 
 
 def line_dedup(
