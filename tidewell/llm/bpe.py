@@ -31,9 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import no_null
-from .vec import byte_values, prefix_sums, range_hashes, slices
+from .vec import range_hashes, slices
 
-_BYTES = byte_values(3, lower=False)
 
 #: The public vocabulary that the queries use.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -303,7 +302,7 @@ class TextEncoder:
         if not len(start):
             return [b""] * (len(at) - 1)
         end = np.append(start[1:], len(data))
-        _, one, same = np.unique(range_hashes(prefix_sums(data, _BYTES), start, end), return_index=True, return_inverse=True)
+        _, one, same = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
         size = end - start
         rep = one[same]
         if not (size[rep] == size).all() or not (data[np.repeat(start[rep] - start, size) + np.arange(len(data))] == data).all():

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,20 @@ def work_dir(spark: SparkSession) -> str:
     return own
 
 
+_open: list[Workspace] = []
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Deletes, on success, all tables of workspaces that were opened inside: for steps whose result has been written elsewhere."""
+    before = len(_open)
+    yield
+    for work in _open[before:]:
+        if work.spark is spark and work.names:
+            work.drop()
+    del _open[before:]
+
+
 class Workspace:
     """Tables that one operator run writes once and reads back.
 
@@ -46,14 +61,27 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
+        _open.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write and read back; ``by`` is a column that gets a folder for each value."""
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(self.path(name))
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more; without names, all that are left."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in [self.path(n) for n in names] if names else [self.root]:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        self.names -= set(names) if names else set(self.names)
+
 
 def filter_rows(df: DataFrame, text_col: str, make_judge: Callable[[], Callable[[pa.Array], np.ndarray]]) -> DataFrame:
     """The rows whose text is judged true, with all their columns, in place: nothing is shuffled or joined.

@@ -83,6 +83,7 @@ def connected_components(links: DataFrame, work: Workspace, name: str) -> DataFr
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         k += 1
         edges = work.keep(small, f"{name}-{k}")
+        work.drop(f"{name}-{k - 1}")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break

@@ -2,20 +2,24 @@
 
 A run is a table of line keys, sorted by their 128-bit hash, with the number
 of documents that hold the key and the largest of their ids.  Each new batch
-of documents is reduced to its own keys, merge-anti-joined with the runs (what
-no run holds is fresh), and added as a run of level 0; when a level has
-``fan_in`` runs they are compacted into one run of the next level.  So a key
-is rewritten once per level, not once per batch.
+of documents is reduced to its own keys and merged with the runs: what no run
+holds is fresh and starts its own count (the anti-join), what some run holds
+goes on from there (its newest version has the largest count).  The result is
+added as a run of level 0; when a level has ``fan_in`` runs they are compacted
+into one run of the next level.  So a key is rewritten once per level, not once
+per batch, and a batch's run tells for each of its keys how it stands over all
+batches so far.
 
 Keys that enough documents hold are then dropped from all documents but the
-one with the largest id.
+one with the largest id; which they are is read from the runs' newest versions.
 
 Defined cases: a line's key is the line stripped of ASCII white space with A-Z
 lower-cased; null and empty texts are one empty line; a document counts once
 for a key however often it repeats the line, and all its lines with the key
 stay or go together; rows that share an id each count, and all of them keep
 the lines if it is the largest id; null ids count as smaller than any id and
-are returned; no rows give no rows; other columns are not read.
+are returned; no rows give no rows; other columns are not read.  Two keys are
+the same if their XXH3 hashes of 128 bits are.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, no_null
-from .vec import LUT, LUT2, WS, prefix_sums, range_hashes, slices
+from .common import Workspace, no_null, shuffle_partitions
+from .vec import LOWER, WS, slices, wide_hashes
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -37,6 +41,8 @@ MIN_DOCS = 5
 FAN_IN = 4
 #: Batches that a whole table is taken in.
 BATCHES = 4
+#: Keys that one task sorts and merges, about.
+TASK_KEYS = 4_000_000
 #: Dropped keys that are broadcast (24 bytes each); more are joined instead.
 BROADCAST_KEYS = 1_000_000
 NO_ID = -(1 << 63)
@@ -63,17 +69,18 @@ def line_keys(data: np.ndarray, at: np.ndarray, min_chars: int) -> tuple:
     key = points[b] - points[a] >= min_chars
     h1, h2 = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
     if key.any():
-        h1[key] = range_hashes(prefix_sums(data, LUT), a[key], b[key]).view(np.int64)
-        h2[key] = range_hashes(prefix_sums(data, LUT2), a[key], b[key]).view(np.int64)
+        h1[key], h2[key] = wide_hashes(LOWER[data], a[key], b[key])
     return row, start, end, key, h1, h2
 
 
 class LineRuns:
-    """Levels of sorted runs: (h1, h2, docs, last, fresh)."""
+    """Levels of sorted runs: (h1, h2, docs, last, fresh); a key's counts are those over all batches up to its run."""
 
     def __init__(self, spark: SparkSession, work: Workspace, fan_in: int = FAN_IN):
         self.spark, self.work, self.fan_in = spark, work, fan_in
         self.levels: list[list[DataFrame]] = []
+        self.names: dict[int, str] = {}
+        self.partitions: int | None = None
         self._made = 0
 
     def runs(self) -> list[DataFrame]:
@@ -81,7 +88,9 @@ class LineRuns:
 
     def _write(self, run: DataFrame) -> DataFrame:
         self._made += 1
-        return self.work.keep(run.sortWithinPartitions("h1", "h2"), f"run-{self._made}")
+        out = self.work.keep(run.sortWithinPartitions("h1", "h2"), f"run-{self._made}")
+        self.names[id(out)] = f"run-{self._made}"
+        return out
 
     @staticmethod
     def _union(runs: list[DataFrame]) -> DataFrame:
@@ -91,21 +100,26 @@ class LineRuns:
         return out
 
     @staticmethod
-    def _sum(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    def _newest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("h1", "h2").agg(F.max("docs").alias("docs"), F.max("last").alias("last"))
 
     def add(self, counts: DataFrame) -> DataFrame:
         """Add a batch's (h1, h2, docs, last); returns its run, in which fresh keys are marked."""
-        own = self._sum(counts)
+        if self.partitions:
+            counts = counts.repartition(self.partitions, "h1", "h2")
+        own = counts.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
         held = self.runs()
         if held:
-            own = self.work.keep(own, f"batch-{self._made}")
-            keys = self._union(held).select("h1", "h2").hint("merge")
-            fresh = own.join(keys, ["h1", "h2"], "left_anti").withColumn("fresh", F.lit(True))
-            own = fresh.unionByName(own.join(keys, ["h1", "h2"], "left_semi").withColumn("fresh", F.lit(False)))
+            old = self._union(held).select("h1", "h2", F.col("docs").alias("old_docs"), F.col("last").alias("old_last"))
+            if self.partitions:
+                old = old.repartition(self.partitions, "h1", "h2")
+            # one merge is the anti-join (nothing held: fresh) and the lookup (held: newest version plus own)
+            met = own.join(old.hint("merge"), ["h1", "h2"], "left").groupBy("h1", "h2").agg(
+                (F.first("docs") + F.coalesce(F.max("old_docs"), F.lit(0))).alias("docs"), F.greatest(F.first("last"), F.max("old_last")).alias("last"), F.max("old_docs").isNull().alias("fresh")
+            )
         else:
-            own = own.withColumn("fresh", F.lit(True))
-        run = self._write(own)
+            met = own.withColumn("fresh", F.lit(True))
+        run = self._write(met)
         level, carry = 0, run
         while True:
             if level == len(self.levels):
@@ -113,12 +127,19 @@ class LineRuns:
             self.levels[level].append(carry)
             if len(self.levels[level]) < self.fan_in:
                 return run
-            carry = self._write(self._sum(self._union(self.levels[level])).withColumn("fresh", F.lit(False)))
+            whole = self._union(self.levels[level])
+            if self.partitions:
+                whole = whole.repartition(self.partitions, "h1", "h2")
+            carry = self._write(self._newest(whole).withColumn("fresh", F.lit(False)))
+            for old in self.levels[level]:
+                if old is not run:  # the caller holds this batch's own
+                    self.work.drop(self.names.pop(id(old)))
             self.levels[level] = []
             level += 1
 
-    def counts(self) -> DataFrame:
-        return self._sum(self._union(self.runs()))
+    def counts(self, at_least: int = 1) -> DataFrame:
+        """(h1, h2, docs, last) of the keys that so many documents hold: a key's newest version passes if any does."""
+        return self._newest(self._union(self.runs()).where(F.col("docs") >= at_least))
 
 
 def batch_counts(docs: DataFrame, bounds: list[int], min_chars: int) -> DataFrame:
@@ -228,11 +249,15 @@ def line_dedup(
     lo, hi = docs.agg(F.min("id"), F.max("id")).first()
     lo, hi = lo or 0, hi or 0
     bounds = [lo + (hi - lo) * (k + 1) // batches for k in range(batches - 1)]
-    counts = work.keep(batch_counts(docs.drop("rest"), bounds, min_chars), "lines")
+    counts = work.keep(batch_counts(docs.drop("rest"), bounds, min_chars), "lines", by="batch")
     runs = LineRuns(spark, work)
+    needed = -(-counts.count() // TASK_KEYS)
+    if needed > shuffle_partitions(spark):
+        runs.partitions = needed
     for k in range(batches):
         runs.add(counts.where(F.col("batch") == k).drop("batch"))
-    hot = work.keep(runs.counts().where(F.col("docs") >= min_docs).select("h1", "h2", "last"), "hot")
+    hot = work.keep(runs.counts(min_docs).select("h1", "h2", "last"), "hot")
+    work.drop("lines", *runs.names.values())
     if hot.count() <= broadcast_keys:
         return _drop_broadcast(docs, hot, min_chars)
     return _drop_joined(docs, hot, min_chars, work)

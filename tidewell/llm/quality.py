@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import filter_rows, no_null
-from .vec import LUT, U64, mix, prefix_sums, range_hashes, slices, word_ranges
+from .vec import LOWER, U64, mix, range_hashes, slices, word_ranges
 
 SAMPLE_ROWS = 4096
 WORD_BINS, SHAPE_BINS = 3072, 1024
@@ -55,7 +55,7 @@ def term_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     start, end, first = word_ranges(data, at)
     if not len(start):
         return np.zeros((n, BINS), np.float32)
-    words = range_hashes(prefix_sums(data, LUT), start, end)
+    words = range_hashes(LOWER[data], start, end)
     row = np.repeat(np.arange(n), np.diff(first))
     size = end - start
     second = _SHAPE[data[np.minimum(start + 1, end - 1)]]

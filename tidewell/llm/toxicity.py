@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import no_null
 from .quality import labelled_sample
-from .vec import LUT, U64, prefix_sums, range_hashes, slices
+from .vec import LOWER, U64, range_hashes, slices
 
 SAMPLE_ROWS = 8192
 BINS = 1 << 20
@@ -58,12 +58,12 @@ def term_bins(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     before[at[:-1][at[:-1] < n]] = True
     after[at[1:][at[1:] > 0] - 1] = True
     start, end = np.flatnonzero(inside & before), np.flatnonzero(inside & after) + 1
-    sums = prefix_sums(data, LUT)
+    lower = LOWER[data]
     row = np.searchsorted(at, start, side="right") - 1
-    keys = [row * BINS + (range_hashes(sums, start, end) % U64(BINS // 2)).astype(np.int64)]
+    keys = [row * BINS + (range_hashes(lower, start, end) % U64(BINS // 2)).astype(np.int64)]
     for size in PREFIXES:
         long = np.flatnonzero(end - start > size)
-        heads = range_hashes(sums, start[long], start[long] + size) % U64(BINS // 2) + U64(BINS // 2)
+        heads = range_hashes(lower, start[long], start[long] + size) % U64(BINS // 2) + U64(BINS // 2)
         keys.append(row[long] * BINS + heads.astype(np.int64))
     keys = np.unique(np.concatenate(keys))
     return keys // BINS, keys % BINS

@@ -1,9 +1,10 @@
 """Hashing of whole text columns with numpy, on the buffers Arrow hands over.
 
-Words and lines are byte ranges of the column's data buffer.  A range is
-hashed as the difference of two prefix sums of random byte values weighted by
-powers of an odd number, all modulo 2**64, so the cost per byte does not
-depend on how many ranges there are.
+Words and lines are byte ranges of the column's data buffer.  Words are hashed
+eight bytes at a time, all words at once: each step mixes the next bytes into
+the state with a permutation of 64 bits.  So two words of one length up to
+eight bytes never share a hash, and others do with a chance of 2**-64, whatever
+their bytes.  Long ranges, and the 128-bit keys of lines, are hashed by XXH3.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 CHUNK = 1 << 19
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Ranges up to this size are hashed all at once, longer ones singly.
+SHORT = 64
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WS = np.zeros(256, bool)
@@ -26,25 +28,9 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 
 
-def byte_values(seed: int, lower: bool = True) -> np.ndarray:
-    values = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-    return values[_LOWER] if lower else values
-
-
-LUT = byte_values(1)
-LUT2 = byte_values(2)
-_powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i < n; grown as needed and kept for the worker."""
-    if len(_powers["up"]) < n:
-        size = max(n, CHUNK + 1)
-        for key, by in (("up", _BASE), ("down", _INVERSE)):
-            x = np.full(size, by, U64)
-            x[0] = 1
-            _powers[key] = np.cumprod(x, dtype=U64)
-    return _powers["up"], _powers["down"]
+LOWER = _LOWER.astype(np.uint8)
+_MASK = (np.array([1], U64) << (np.arange(8, dtype=U64) * U64(8))) - U64(1)
+_MASK = np.append(_MASK, ~U64(0))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -86,17 +72,32 @@ def slices(column, limit: int = CHUNK, rows: int = 1 << 14) -> Iterator[tuple[in
         lo = hi
 
 
-def prefix_sums(data: np.ndarray, lut: np.ndarray) -> np.ndarray:
-    up, _ = powers(len(data) + 1)
-    sums = np.empty(len(data) + 1, U64)
-    sums[0] = 0
-    np.cumsum(lut[data] * up[: len(data)], dtype=U64, out=sums[1:])
-    return sums
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of the bytes, as they are."""
+    size = end - start
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    out = size.astype(U64) * U64(0x9E3779B97F4A7C15)
+    live = np.flatnonzero((size > 0) & (size <= SHORT))
+    done = 0
+    while len(live):
+        out[live] = mix(out[live] ^ (lanes[start[live] + done] & _MASK[np.minimum(size[live] - done, 8)]))
+        done += 8
+        live = live[size[live] > done]
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        raw = memoryview(data if data.flags.c_contiguous else np.ascontiguousarray(data))
+        out[long] = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start[long].tolist(), end[long].tolist())), U64, len(long))
+    return out
 
 
-def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = powers(len(sums))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
+def wide_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of the 128-bit hash of each range."""
+    raw = memoryview(data if data.flags.c_contiguous else np.ascontiguousarray(data))
+    whole = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())])
+    halves = np.frombuffer(whole, "<i8").reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def word_ranges(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,12 +117,12 @@ def word_ranges(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, end, np.searchsorted(start, at)
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray, lut: np.ndarray = LUT) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word, and where each row's words begin."""
+def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word with A-Z lower-cased, and where each row's words begin."""
     start, end, first = word_ranges(data, at)
     if not len(start):
         return np.zeros(0, U64), first
-    return range_hashes(prefix_sums(data, lut), start, end), first
+    return range_hashes(LOWER[data], start, end), first
 
 
 _GRAM = np.random.default_rng(5).integers(1, 1 << 62, 64, dtype=np.int64).astype(U64) * U64(2) + U64(1)
