@@ -139,7 +139,7 @@ def test_normal_form():
 @given(st.lists(st.sets(st.integers(0, 25), max_size=14), min_size=1, max_size=14), st.sampled_from([50, 80, 100]))
 def test_prefix_tree_join(sets, percent):
     arrays = [np.sort(vec.mix(np.array(sorted(s), np.uint64) + np.uint64(1))) for s in sets]
-    order = ngram_join.GlobalOrder(np.random.default_rng(0).integers(0, 5, 64).astype(np.uint16))
+    order = ngram_join.GlobalOrder(np.random.default_rng(0).integers(0, 5, 64).astype(np.uint8))
     got, want = UnionFind(), UnionFind()
     for a, b in ngram_join.join_sets(list(range(len(sets))), arrays, list(range(len(sets))), percent, order):
         assert 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
@@ -159,7 +159,7 @@ def test_prefix_tree_join(sets, percent):
 @given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=20), min_size=2, max_size=10))
 def test_similar_sets_meet(sets):
     """Nodes that are linked come out of the candidate search as pairs or tied."""
-    order = ngram_join.GlobalOrder(np.zeros(64, np.uint16))
+    order = ngram_join.GlobalOrder(np.zeros(64, np.uint8))
     rows = []
     for k, s in enumerate(sets):
         a = order.sort(vec.mix(np.array(sorted(s), np.uint64) + np.uint64(1)))

@@ -1,10 +1,10 @@
 """Exact Jaccard self-join on word n-grams with prefix trees.
 
 A document's set is its distinct n-word shingles, hashed to 64 bits.  One
-global order holds for all sets: rarer shingles first, by a table of
-counts of fixed size that is summed over the whole corpus.
+global order holds for all sets: rarer shingles first, by a table of counts
+that is summed over the whole corpus and grows with it (COUNTERS).
 
-1. Documents with equal sets are one node (joined by a 64-bit set hash), so
+1. Documents with equal sets are one node (joined by a 128-bit set hash), so
    groups of copies never reach the join.
 2. Two similar sets share a shingle among the first ``n - ceil(t * n) + 1`` in
    the global order.  Those prefixes are dealt out by shingle.  Nodes that meet
@@ -20,10 +20,12 @@ counts of fixed size that is summed over the whole corpus.
    remaining lengths cannot reach the threshold, or when all its sets are
    already linked with the one at hand.
 4. A cluster that is larger than a block is dealt out over blocks.  Blocks are
-   joined first, then one set for each component found so far, and then what
-   still is apart from the largest component is joined with every block: any
-   two sets of a cluster that are not yet linked meet, so the result is exact,
-   and no task holds more than two blocks.
+   joined first, then one set for each component found so far.  What then is
+   apart from the cluster's largest component is routed by prefixes again, now
+   in the order of exact counts within the cluster: sets meet where they share
+   a shingle that is rare there, whatever else tied them.  Of the pairs that
+   sizes, positions and bitmaps leave, the closest of any two components is
+   verified first, then what is still open, so the result is exact.
 
 Defined cases: words are runs of bytes other than ASCII white space, with A-Z
 lower-cased; with fewer words than n the whole sequence is the one shingle;
@@ -41,6 +43,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Workspace, no_null, shuffle_partitions
@@ -49,13 +52,15 @@ from .vec import U64, mix, shingle_sets, slices
 
 N = 5
 PERCENT = 80
-#: Counters of the global order; a fixed number, 2 bytes each when broadcast.
-COUNTERS = 1 << 22
+#: Least and most counters of the global order, one byte each when broadcast; between them there is one for each SHARE shingles.
+COUNTERS, MOST_COUNTERS, SHARE = 1 << 22, 1 << 26, 16
 RANGES = 64
+#: Postings that a task holds at a time, about.
+BUCKET_POSTINGS = 2_000_000
 #: Nodes that meet in one shingle and are still compared pair by pair.
 PAIRWISE = 32
 #: Shingles in a block of a cluster.
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 100_000
 #: Bits of the filter that picks the texts of clusters from the table.
 FILTER_BITS = 1 << 26
 BITMAP_BITS = 1 << 15
@@ -221,6 +226,8 @@ def join_sets(names: list[int], members: list[np.ndarray], known: list[int], per
 def _profile(docs: DataFrame, n: int, counters: int) -> DataFrame:
     """One pass: for each document its size, set hash and bitmap (kind 1); for each task its shingle counts (kind 0)."""
 
+    names = ["kind", "id", "n", "sid", "sid2", "data"]
+
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(counters, np.uint16)
         for batch in batches:
@@ -230,20 +237,29 @@ def _profile(docs: DataFrame, n: int, counters: int) -> DataFrame:
                 bins, add = np.unique((every % U64(counters)).astype(np.int64), return_counts=True)
                 counts[bins] = np.minimum(counts[bins].astype(np.int64) + add, 65_535)
                 size = np.array([len(s) for s in sets], np.int64)
-                key = [set_hash(s) if len(s) else None for s in sets]
+                key = [set_hash(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.ones(hi - lo, np.int32)), batch.column(0)[lo:hi], pa.array(size), pa.array(key, pa.int64()), pa.array([parity_bitmap(s) for s in sets], pa.binary()),
-                ], ["kind", "id", "n", "sid", "data"])
+                    pa.array(np.ones(hi - lo, np.int32)), batch.column(0)[lo:hi], pa.array(size), *(pa.array([x[k] for x in key], pa.int64()) for k in range(2)), pa.array([parity_bitmap(s) for s in sets], pa.binary()),
+                ], names)
         parts = [(k, zlib.compress(p.tobytes(), 1)) for k, p in enumerate(counts.reshape(RANGES, -1)) if p.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([0] * len(parts), pa.int32()), pa.array([k for k, _ in parts], pa.int64()), pa.array([0] * len(parts), pa.int64()), pa.array([None] * len(parts), pa.int64()), pa.array([p for _, p in parts], pa.binary())], ["kind", "id", "n", "sid", "data"])
+        none, zero = pa.nulls(len(parts), pa.int64()), np.zeros(len(parts), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(zero.astype(np.int32)), pa.array([k for k, _ in parts], pa.int64()), pa.array(zero), none, none, pa.array([p for _, p in parts], pa.binary())], names)
+
+    return docs.mapInArrow(profile, "kind int, id long, n long, sid long, sid2 long, data binary")
+
 
-    return docs.mapInArrow(profile, "kind int, id long, n long, sid long, data binary")
+def set_hash(shingles: np.ndarray) -> tuple[int, int]:
+    """128-bit hash of a set (sorted distinct hashes), in two halves: sums of its members' mixed hashes, and its size."""
+    halves = []
+    for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
+        total = np.sum(mix(shingles ^ U64(seed)), dtype=U64, keepdims=True) + np.full(1, len(shingles), U64) * U64(0x9E3779B97F4A7C15)
+        halves.append(int(mix(total).view(np.int64)[0]))
+    return halves[0], halves[1]
 
 
-def set_hash(shingles: np.ndarray) -> int:
-    """64-bit hash of a set (sorted distinct hashes): sum and size of its members' mixed hashes."""
-    total = np.sum(mix(shingles ^ U64(0x5851F42D4C957F2D)), dtype=U64, keepdims=True) + np.full(1, len(shingles), U64) * U64(0x9E3779B97F4A7C15)
-    return int(mix(total).view(np.int64)[0])
+def _step(counts: np.ndarray) -> np.ndarray:
+    """Counts on a logarithmic scale of 256 steps: exact order up to about 20, 4 per cent a step above."""
+    return np.minimum(np.round(16 * np.log2(counts + 1.0)), 255).astype(np.uint8)
 
 
 def _order(spark: SparkSession, profile: DataFrame, counters: int) -> np.ndarray:
@@ -256,15 +272,13 @@ def _order(spark: SparkSession, profile: DataFrame, counters: int) -> np.ndarray
                 got = np.frombuffer(zlib.decompress(part), np.uint16).astype(np.int64)
                 sums[k] = sums[k] + got if k in sums else got
         rows = sorted(sums.items())
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([s.astype(np.uint32).tobytes() for _, s in rows], pa.binary())], ["id", "data"])
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([_step(s).tobytes() for _, s in rows], pa.binary())], ["id", "data"])
 
     parts = profile.where("kind = 0").select("id", "data").repartition("id").mapInArrow(add, "id long, data binary").toArrow()
-    counts = np.zeros((RANGES, counters // RANGES), np.uint32)
+    counts = np.zeros((RANGES, counters // RANGES), np.uint8)
     for k, part in zip(parts.column("id").to_pylist(), parts.column("data").to_pylist()):
-        counts[k] = np.frombuffer(part, np.uint32)
-    # ranks of counts in 16 bits: only the order matters, and above a quarter million steps are coarse
-    flat = counts.reshape(-1).astype(np.int64)
-    return np.where(flat < 32_768, flat, np.minimum(32_768 + (flat - 32_768) // 1024, 65_535)).astype(np.uint16)
+        counts[k] = np.frombuffer(part, np.uint8)
+    return counts.reshape(-1)
 
 
 _POSTING = np.dtype([("token", "<u8"), ("sid", "<i8"), ("n", "<u4"), ("at", "<u4")])
@@ -280,18 +294,18 @@ def _postings(docs: DataFrame, order, n: int, percent: int, buckets: int) -> Dat
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = GlobalOrder(order.value)
-        seen: set[int] = set()
+        seen: set[tuple] = set()
         for batch in batches:
             held = []
             for _, _, data, at in slices(batch.column(0)):
                 for s in shingle_sets(data, at, n):
                     if not len(s) or (key := set_hash(s)) in seen:
                         continue
-                    if len(seen) < 1_000_000:
+                    if len(seen) < 500_000:
                         seen.add(key)
                     p = prefix_length(len(s), percent)
                     rows = np.empty(p, _POSTING)
-                    rows["token"], rows["sid"], rows["n"], rows["at"] = ranks.sort(s)[:p], key, len(s), np.arange(p)
+                    rows["token"], rows["sid"], rows["n"], rows["at"] = ranks.sort(s)[:p], key[0], len(s), np.arange(p)
                     held.append(rows)
             if not held:
                 continue
@@ -349,34 +363,39 @@ def _meet(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _partners(postings: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """(a, b, tie): nodes that meet in a shingle and may be similar."""
+    """(a, b, tie): nodes that meet in a shingle and may be similar.  A task takes its buckets one after the other, sorted."""
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for bucket, packed, tied in zip(*(c.to_pylist() for c in batch.columns)):
+            yield from zip(*(c.to_pylist() for c in batch.columns))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groupby(rows(batches), key=lambda r: r[0]):
+            held = []
+            for _, packed, tied in group:
                 if tied:
                     t = np.frombuffer(tied, "<i8").reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays([pa.array(t[:, 0].copy()), pa.array(t[:, 1].copy()), pa.array(np.ones(len(t), bool))], ["a", "b", "tie"])
                 if packed:
-                    held.setdefault(bucket, []).append(packed)
-        for bucket in list(held):
-            for k, found in enumerate(_meet(np.frombuffer(b"".join(held.pop(bucket)), _POSTING).copy(), percent)):
+                    held.append(np.frombuffer(packed, _POSTING))
+            for k, found in enumerate(_meet(np.concatenate(held), percent) if held else ()):
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), pa.array(np.full(len(found), k == 1))], ["a", "b", "tie"])
 
-    return postings.repartition(buckets, "bucket").mapInArrow(meet, "a long, b long, tie boolean")
+    return postings.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a long, b long, tie boolean")
 
 
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) node ids: ties, and the pairs whose bitmaps leave room for a link."""
+    """(a, b, distance) node ids: ties, and the pairs whose bitmaps leave room for a link, with the distance of the bitmaps."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ra, rb, tie, na, nb, da, db = (c.to_pylist() for c in batch.columns)
-            ok = [t or bitmap_distance(x, y) <= n + m - 2 * least_overlap(n + m, percent) for t, n, m, x, y in zip(tie, na, nb, da, db)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            _, _, tie, na, nb, da, db = (c.to_pylist() for c in batch.columns)
+            far = [0 if t else bitmap_distance(x, y) for t, x, y in zip(tie, da, db)]
+            ok = [d <= n + m - 2 * least_overlap(n + m, percent) for d, n, m in zip(far, na, nb)]
+            ok = [t or o for t, o in zip(tie, ok)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.int64())], ["a", "b", "distance"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("ra", "rb", "tie", "na", "nb", "da", "db").mapInArrow(judge, "a long, b long")
+    return pairs.select("ra", "rb", "tie", "na", "nb", "da", "db").mapInArrow(judge, "a long, b long, distance long")
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
@@ -430,74 +449,120 @@ def _block_links(members: DataFrame, n: int, percent: int, order) -> DataFrame:
     return dealt.select("cluster", "block", "node", "text", "known").mapInArrow(join, "a long, b long")
 
 
+def _sizes(spark: SparkSession, docs: DataFrame) -> tuple[int, int]:
+    """(counters, buckets) for the corpus, of which a shingle takes about six bytes and every fourth is in a prefix."""
+    shingles = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    counters = COUNTERS
+    while counters < min(shingles // SHARE, MOST_COUNTERS):
+        counters *= 2
+    return counters, max(shuffle_partitions(spark), shingles // 4 // BUCKET_POSTINGS)
+
+
 def ngram_join(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
-    counters: int = COUNTERS, block_shingles: int = BLOCK_SHINGLES, work: Workspace | None = None,
+    counters: int | None = None, block_shingles: int = BLOCK_SHINGLES, work: Workspace | None = None,
 ) -> DataFrame:
     """(id, n_shingles, component) of every row; the component is the least id reachable by links."""
     spark = df.sparkSession
     work = work or Workspace(spark, "ngram-join")
     docs = df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"))
+    own, buckets = _sizes(spark, docs)
+    counters = counters or own
     profile = work.keep(_profile(docs, n, counters), "profile")
     order = spark.sparkContext.broadcast(_order(spark, profile, counters))
     rows = profile.where("kind = 1")
     # nodes: documents with equal sets, named by the least id
-    nodes = work.keep(rows.where("sid is not null and id is not null").groupBy("sid").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("data").alias("data")), "nodes")
-    buckets = shuffle_partitions(spark)
+    nodes = rows.where("sid is not null and id is not null").groupBy("sid", "sid2").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("data").alias("data"))
+    nodes = work.keep(nodes, "nodes")
     met = _partners(_postings(docs.where("id is not null"), order, n, percent, buckets), percent, buckets)
     pairs = work.keep(met.groupBy("a", "b").agg(F.max("tie").alias("tie")), "pairs")
     left = nodes.select(F.col("sid").alias("a"), F.col("node").alias("ra"), F.col("n").alias("na"), F.col("data").alias("da"))
     right = nodes.select(F.col("sid").alias("b"), F.col("node").alias("rb"), F.col("n").alias("nb"), F.col("data").alias("db"))
     near = work.keep(_possible(pairs.join(left, "a").join(right, "b"), percent), "near")
     clusters = work.keep(connected_components(near, work, "clusters").withColumnRenamed("component", "cluster"), "in-clusters")
+    work.drop("pairs", "near")
 
     sized = clusters.join(nodes.select("node", "n"), "node")
     blocks = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("blocks"))
     sized = sized.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     members = _texts_of(docs, sized.select("node", "n", "cluster", "blocks", "block"))
     many = blocks.where("blocks > 1").limit(1).count() > 0
-    if many:  # blocks are joined several times: keep the texts of clusters
+    if many:  # texts of the clusters are read several times
         members = work.keep(members, "members")
     links = work.keep(_block_links(members.withColumn("known", F.col("node")), n, percent, order), "links-1")
     if many:
-        links = _across_blocks(members.where("blocks > 1"), links, n, percent, block_shingles, order, work)
+        links = _across_blocks(members.where("blocks > 1"), nodes, links, n, percent, block_shingles, order, work)
+        work.drop("members")
     found = connected_components(links, work, "components")
-    parts = nodes.select("sid", "node").join(found, "node", "left").select("sid", F.coalesce("component", "node").alias("component"))
+    parts = nodes.select("sid", "sid2", "node").join(found, "node", "left").select("sid", "sid2", F.coalesce("component", "node").alias("component"))
     # equal sets make a skewed key here, which AQE splits; nothing above needs a key's rows together
-    out = rows.select("id", F.col("n").alias("n_shingles"), "sid").join(parts, "sid", "left")
+    out = rows.select("id", F.col("n").alias("n_shingles"), "sid", "sid2").join(parts, ["sid", "sid2"], "left")
     return out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
-def _across_blocks(members: DataFrame, links: DataFrame, n: int, percent: int, block_shingles: int, order, work: Workspace) -> DataFrame:
+def _across_blocks(members: DataFrame, nodes: DataFrame, links: DataFrame, n: int, percent: int, block_shingles: int, order, work: Workspace) -> DataFrame:
     """All links of clusters that have several blocks."""
 
     def labelled(step: str) -> DataFrame:
+        """(cluster, node, n, known): each node with its component so far."""
         found = connected_components(links, work, step)
-        return work.keep(members.join(found, "node", "left").withColumn("known", F.coalesce("component", "node")).drop("component"), f"{step}-members")
+        return work.keep(members.select("cluster", "node", "n").join(found, "node", "left").select("cluster", "node", "n", F.coalesce("component", "node").alias("known")), f"{step}-members")
 
     # one set for each component: near copies fall together here
     now = labelled("across-1")
-    chosen = now.groupBy("cluster", "known").agg(F.min("node").alias("node")).select("node")
-    heads = now.join(chosen, "node", "left_semi")
-    room = heads.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("head_blocks"))
-    heads = heads.join(room, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), "head_blocks"))
-    more = _block_links(heads, n, percent, order)
-    links = work.keep(links.unionByName(more), "links-2")
-    # what is not in its cluster's largest component meets every block of the cluster
+    heads = now.where("node = known")  # a component is named by its least node
+    room = heads.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("blocks"))
+    heads = heads.join(room, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), "blocks"))
+    heads = heads.join(members.select("node", "text"), "node")
+    links = work.keep(links.unionByName(_block_links(heads, n, percent, order)), "links-2")
     now = labelled("across-2")
     sizes = now.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("cluster").agg(F.max(F.struct("size", "known"))["known"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    open_ = now.join(largest.where("parts > 1"), "cluster")
-    apart = open_.where("known <> main")
-    own = apart.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.max("blocks").alias("k"))
-    # blocks of the nodes apart: as many as their share of the cluster's nodes makes
-    total = open_.groupBy("cluster").agg(F.count(F.lit(1)).alias("all"))
-    own = own.join(total, "cluster").select("cluster", F.ceil(F.col("m") * F.col("k") / F.col("all")).cast("long").alias("apart_blocks"))
-    apart = apart.join(own, "cluster").withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), "apart_blocks"))
-    meet_each = apart.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    side_a = meet_each.select("cluster", (F.col("mine") * F.col("blocks") + F.col("other")).alias("block"), "node", "text", "known")
-    others = open_.join(own, "cluster").withColumn("mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("apart_blocks") - 1)))
-    side_b = others.select("cluster", (F.col("mine") * F.col("blocks") + F.col("block")).alias("block"), "node", "text", "known")
-    # a set apart may come from either side; it is linked with itself already
-    more = _block_links(side_a.unionByName(side_b), n, percent, order)
-    return work.keep(links.unionByName(more), "links-3")
+    open_ = work.keep(now.join(largest.where("parts > 1"), "cluster").drop("parts"), "open")
+    if open_.isEmpty():
+        return links
+    met = routed_pairs(open_, members.select("node", "text"), n, percent)
+    left = nodes.select(F.col("node").alias("a"), F.col("node").alias("ra"), F.col("n").alias("na"), F.col("data").alias("da"))
+    right = nodes.select(F.col("node").alias("b"), F.col("node").alias("rb"), F.col("n").alias("nb"), F.col("data").alias("db"))
+    near = work.keep(_possible(met.withColumn("tie", F.lit(False)).join(left, "a").join(right, "b"), percent), "routed")
+    texts = members.select("node", "text")
+
+    def verified(pairs: DataFrame, step: str) -> DataFrame:
+        sides = pairs.select(F.col("a").alias("cluster"), F.col("b").alias("block"), F.explode(F.array("a", "b")).alias("node"))
+        rows = sides.join(texts, "node").withColumn("known", F.col("node"))
+        return work.keep(links.unionByName(_block_links(rows, n, percent, order)), step)
+
+    def between(now: DataFrame) -> DataFrame:
+        """The pairs whose ends are not yet in one component, with their components."""
+        side = lambda x: now.select(F.col("node").alias(x), F.col("known").alias(f"k{x}"))
+        return near.join(side("a"), "a").join(side("b"), "b").where("ka <> kb")
+
+    best = between(open_).groupBy(F.least("ka", "kb"), F.greatest("ka", "kb")).agg(F.min(F.struct("distance", "a", "b")).alias("x"))
+    links = verified(best.select("x.a", "x.b"), "links-3")
+    return verified(between(labelled("across-3")).select("a", "b"), "links-4")
+
+
+def routed_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b) of (cluster, node, n, known, main): sets of one cluster in two components that meet in a prefix, in the order of exact counts within the cluster."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [batch.column(k).to_numpy() for k in range(3)]
+            for lo, _, data, at in slices(batch.column(3)):
+                sets = shingle_sets(data, at, n)
+                row = np.repeat(np.arange(lo, lo + len(sets)), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([*(pa.array(k[row]) for k in keys), pa.array(np.concatenate(sets).view(np.int64))], ["cluster", "node", "n", "token"])
+
+    held = open_.join(texts, "node").select("cluster", "node", "n", "text").mapInArrow(explode, "cluster long, node long, n long, token long")
+    key = ["cluster", "token"]
+    # what one set alone holds comes first in the order and links nothing, so only its number matters
+    common = held.groupBy(*key).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = W.partitionBy("node")
+    ranked = held.join(common, key).withColumns({"at": F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1})
+    prefix = ranked.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)).select(*key, "node", "at")
+    side = lambda rows, x: prefix.join(rows.select("node", "n", "known"), "node").select(*key, F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"at{x}"), F.col("known").alias(f"k{x}"))
+    small, large, left = F.least("na", "nb"), F.greatest("na", "nb"), F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    may = (F.col("ka") != F.col("kb")) & (100 * small >= percent * large) & (left * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+    # any pair of components has one that is not the cluster's largest
+    met = side(open_.where("known <> main"), "a").join(side(open_, "b"), key).where(may)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
