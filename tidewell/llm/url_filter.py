@@ -7,8 +7,11 @@ whole tokens.  The rule is filed under the one of them that is rarest in the
 URLs at hand; a URL's tokens fetch the rules filed under them, and only those
 run their expression.
 
+Expressions run over "host#path": neither part can hold a ``#``, while both may
+hold line feeds, so no rule can take a piece of the path for the host.
+
 Defined cases: a null URL and one without ``://`` have empty host and path and
-the method's verdict for them; URLs are judged whole and row by row, so
+the method's verdict for them; line feeds are characters like any other; URLs are judged whole and row by row, so
 repeated rows and hot hosts need no shuffle; an empty table gives no rows;
 other columns are not read.
 """
@@ -24,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(r"[a-z0-9]+")
-#: Rules are broadcast; a list of more is refused rather than sent.
-MAX_RULES = 200_000
+#: Rules that are broadcast at a time; a list of more takes further passes over the URLs.
+BLOCK_RULES = 200_000
 
 
 def host_of(url: Column) -> Column:
@@ -51,11 +54,11 @@ class SiteRule:
 
     @property
     def pattern(self) -> re.Pattern:
-        return re.compile(r"(?s)(?:.*\.)?" + re.escape(self.host) + "\n" + re.escape(self.path))
+        return re.compile(r"(?:[^#]*\.)?" + re.escape(self.host) + "#" + re.escape(self.path))
 
     @property
     def literals(self) -> list[str]:
-        """Tokens that every fitting "host newline path" holds whole: a prefix's last token may go on, so it does not count."""
+        """Tokens that every fitting "host#path" holds whole: a prefix's last token may go on, so it does not count."""
         closed = self.path if not self.path or not _TOKEN.match(self.path[-1].lower()) else re.sub(r"[A-Za-z0-9]+$", "", self.path)
         return _TOKEN.findall(self.host) + _TOKEN.findall(closed.lower())
 
@@ -74,13 +77,13 @@ class PatternRule:
         return re.compile(self.expression)
 
 
-#: The method's own rules, over "host newline path" in the URL's own case: pages that carry no prose.
+#: The method's own rules, over "host#path" in the URL's own case: pages that carry no prose.
 PATTERN_RULES = [
-    PatternRule("login", r"(?is)[^\n]*\n(?:.*/)?login(?:[/.].*)?$", "block", ["login"]),
-    PatternRule("cart", r"(?is)[^\n]*\n(?:.*/)?cart(?:[/.].*)?$", "block", ["cart"]),
-    PatternRule("ads", r"(?is)(?:[^\n]*\.)?ads\.[^\n]*\n", "block", ["ads"]),
-    PatternRule("spam", r"(?is)(?:[^\n]*[.-])?spam[.-][^\n]*\n", "block", ["spam"]),
-    PatternRule("casino", r"(?is)(?:[^\n]*[.-])?casino[.-][^\n]*\n", "block", ["casino"]),
+    PatternRule("login", r"(?is)[^#]*#(?:.*/)?login(?:[/.].*)?$", "block", ["login"]),
+    PatternRule("cart", r"(?is)[^#]*#(?:.*/)?cart(?:[/.].*)?$", "block", ["cart"]),
+    PatternRule("ads", r"(?is)(?:[^#]*\.)?ads\.[^#]*#", "block", ["ads"]),
+    PatternRule("spam", r"(?is)(?:[^#]*[.-])?spam[.-][^#]*#", "block", ["spam"]),
+    PatternRule("casino", r"(?is)(?:[^#]*[.-])?casino[.-][^#]*#", "block", ["casino"]),
 ]
 
 
@@ -97,13 +100,13 @@ class RuleIndex:
         self.tried = 0
 
     def judge(self, host: str, path: str) -> tuple[str | None, str | None]:
-        """(rule, verdict): the longest fitting site rule's, else the first fitting pattern's verdict, else nothing."""
-        subject = f"{host}\n{path}"
+        """(rule, verdict): the longest fitting site rule's (of equally long ones the last by name), else the first fitting pattern's verdict, else nothing."""
+        subject = f"{host}#{path}"
         best, verdict = None, None
         for token in set(_TOKEN.findall(subject.lower())):
             for site, size, name, says, pattern in self.filed.get(token, ()):
                 self.tried += 1
-                if site and best and best[0] >= size or not pattern.match(subject):
+                if site and best and best[:2] >= (size, name) or not pattern.match(subject):
                     continue
                 if site:
                     best = size, name, says
@@ -114,7 +117,7 @@ class RuleIndex:
 
 def token_frequency(urls: DataFrame, tokens: set[str]) -> dict[str, int]:
     """URLs that hold each of the rules' tokens, over the whole table; at most one row per token leaves the cluster."""
-    held = F.array_intersect(F.split(F.lower(F.concat("host", F.lit("\n"), "path")), "[^a-z0-9]+"), F.array(*map(F.lit, sorted(tokens))))
+    held = F.array_intersect(F.split(F.lower(F.concat("host", F.lit("#"), "path")), "[^a-z0-9]+"), F.array(*map(F.lit, sorted(tokens))))
     return {r["token"]: r["n"] for r in urls.select(F.explode(held).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
@@ -124,21 +127,35 @@ def filter_urls(
 ) -> DataFrame:
     """(id, host, path, rule, verdict) of every row."""
     pattern_rules = PATTERN_RULES if pattern_rules is None else pattern_rules
-    if len(site_rules) + len(pattern_rules) > MAX_RULES:
-        raise ValueError("too many rules to broadcast")
     url = F.col(url_col)
     urls = df.select(F.col(id_col).cast("long").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    frequency = token_frequency(urls, {t for r in [*site_rules, *pattern_rules] for t in r.literals})
-    shared = df.sparkSession.sparkContext.broadcast((site_rules, pattern_rules, frequency))
+    # rules in blocks; patterns come last, for URLs that no site rule decides
+    blocks = [(site_rules[k : k + BLOCK_RULES], []) for k in range(0, len(site_rules), BLOCK_RULES)]
+    blocks += [([], pattern_rules[k : k + BLOCK_RULES]) for k in range(0, len(pattern_rules), BLOCK_RULES)]
+    if len(site_rules) + len(pattern_rules) <= BLOCK_RULES:
+        blocks = [(site_rules, pattern_rules)]
+    out = urls.select("*", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
+    for sites, patterns in blocks:
+        out = _judged(out, sites, patterns, token_frequency(urls, {t for r in [*sites, *patterns] for t in r.literals}))
+    return out.withColumn("verdict", F.coalesce("verdict", F.when(F.col("host") == "", no_host).otherwise(default)))
+
+
+def _judged(urls: DataFrame, sites: list[SiteRule], patterns: list[PatternRule], frequency: dict[str, int]) -> DataFrame:
+    """One pass: a longer rule replaces what earlier passes found, a pattern's verdict stands where no rule fits."""
+    shared = urls.sparkSession.sparkContext.broadcast((sites, patterns, frequency))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = RuleIndex(*shared.value)
         for batch in batches:
             rules, verdicts = [], []
-            for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                rule, verdict = index.judge(host, path)
+            for host, path, rule, verdict in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
+                found, says = index.judge(host, path)
+                if found is not None and (rule is None or (len(found), found) > (len(rule), rule)):
+                    rule, verdict = found, says
+                elif rule is None and says is not None and verdict != "block":
+                    verdict = says
                 rules.append(rule)
-                verdicts.append(verdict or (default if host else no_host))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rules, pa.string()), pa.array(verdicts, pa.string())], ["id", "host", "path", "rule", "verdict"])
+                verdicts.append(verdict)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rules, pa.string()), pa.array(verdicts, pa.string())], ["id", "host", "path", "rule", "verdict"])
 
     return urls.mapInArrow(judge, "id long, host string, path string, rule string, verdict string")
