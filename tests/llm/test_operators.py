@@ -64,8 +64,8 @@ def test_bpe_round_trip(spark, odd, none):
     assert bpe.bpe_decode(bpe.bpe_encode(none, ranks, bpe.KNOWN_PATTERN), ranks).collect() == []
 
 
-def test_url_filter(spark):
-    urls = [None, "", "no scheme", "http://EXAMPLE.org/es/a?x#y", "https://a.b.example.org/en/12", "x://org", "x://org/", "http://shop.com/cart", "http://user@h.com:80/de/", "http://u.com/fr/\nz"]
+def test_url_filter(spark, monkeypatch):
+    urls = [None, "", "no scheme", "http://EXAMPLE.org/es/a?x#y", "https://a.b.example.org/en/12", "x://org", "x://org/", "http://shop.com/cart", "http://user@h.com:80/de/", "http://u.com/fr/\nz", "http://zzz.net/x.org\n/y", "http://zzz.net/a.com\n/de/x", "http://a\nb.com/de/x"]
     df = spark.createDataFrame([(k, u, "rule", None) for k, u in enumerate(urls)], "page_id long, url string, rule string, html string")
     rules = [url_filter.SiteRule("org", "/", "allow"), url_filter.SiteRule("example.org", "/es/", "block"), url_filter.SiteRule("example.org", "/en/1", "block"), url_filter.SiteRule("com", "/fr/", "allow"), url_filter.SiteRule("com", "/de/", "block")]
     got = {r["id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(df, rules).collect()}
@@ -76,6 +76,10 @@ def test_url_filter(spark):
     assert got[7] == ("shop.com", "/cart", None, "block")
     assert got[8] == ("user@h.com:80", "/de/", None, "allow")
     assert got[9][1:] == ("/fr/\nz", "com/fr/", "allow")
+    assert got[10] == ("zzz.net", "/x.org\n/y", None, "allow") and got[11] == ("zzz.net", "/a.com\n/de/x", None, "allow")
+    assert got[12] == ("a\nb.com", "/de/x", "com/de/", "block")
+    monkeypatch.setattr(url_filter, "BLOCK_RULES", 2)  # rules in several passes say the same
+    assert {r["id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(df, rules).collect()} == got
     assert url_filter.filter_urls(df.limit(0), rules).collect() == []
 
 
@@ -120,14 +124,35 @@ def test_pii_adds_what_the_base_cannot_hold(spark):
 
 def test_decontaminate(spark, odd, none):
     item = "The quick brown fox jumps over the lazy dog while nobody looks."
-    bench = spark.createDataFrame([(1, item), (2, item.upper()), (3, None), (4, "short")], "item_id long, text string")
-    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([(50, "Before. " + item.replace("brown", "brawn") + " After."), (51, item[:30])], "doc_id long, text string"))
-    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.find_leaks(docs, bench).collect()) == [(50, 1, 1), (50, 2, 1)]
-    assert sorted(r["item_id"] for r in decontaminate.find_leaks(docs, bench, block_bytes=10).collect()) == [1, 2]
-    assert sorted(r["doc_id"] or 0 for r in decontaminate.drop_leaks(docs, bench, block_bytes=10).collect()) == sorted(i or 0 for i, _ in [*ODD, (51, "")])
+    bench = spark.createDataFrame([(1, item, 0), (2, item.upper(), 0), (3, None, 0), (4, "short", 0), (5, "Who wrote Hamlet?", 0)], "item_id long, text string, doc_id long")
+    more = [(50, "Before. " + item.replace("brown", "brawn") + " After."), (51, item[:30]), (52, "Now: who WROTE hamlet, and why"), (53, "who wrote hamlets"), (54, "short")]
+    docs = odd.select("doc_id", "text", "id", "n", F.lit(1).alias("item_id")).unionByName(spark.createDataFrame([(i, t, "id", 1, 1) for i, t in more], "doc_id long, text string, id string, n long, item_id int"))
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.find_leaks(docs, bench).collect()) == [(50, 1, 1), (50, 2, 1), (52, 5, 0)]
+    assert sorted(r["item_id"] for r in decontaminate.find_leaks(docs, bench, block_bytes=10).collect()) == [1, 2, 5]
+    left = decontaminate.drop_leaks(docs, bench, block_bytes=10)
+    assert left.columns == docs.columns and sorted(r["doc_id"] or 0 for r in left.collect()) == sorted(i or 0 for i, _ in [*ODD, (51, ""), (53, ""), (54, "")])
+    assert sorted((r["item_id"], r["chars"]) for r in decontaminate.unsearched_items(bench).collect()) == [(3, 0), (4, 5)]
     assert decontaminate.drop_leaks(none, bench).collect() == [] and decontaminate.find_leaks(none, bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_decontaminate_a_table_against_brute_force(spark, data):
+    """The query's rows: every item that Myers' algorithm, run over the whole of each text, finds."""
+    from tidewell.llm.queries import queries
+
+    items = [(r["item_id"], decontaminate.normalise(r["text"])) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    docs = [(r["doc_id"], decontaminate.normalise(r["text"] or "")) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in queries()["op7_decontaminate"](spark, data).collect()}
+    leaked = {d for d, _ in got}
+    rng = random.Random(0)
+    docs = [x for x in docs if x[0] in leaked][:15] + rng.sample(docs, 8)
+    for d, text in docs:
+        text = text[:4000]
+        for n, item in rng.sample(items, min(20, len(items))) + [x for x in items if (d, x[0]) in got]:
+            hit = decontaminate.least_distance(item, text, int(decontaminate.EDIT_RATE * len(item)))
+            assert hit is None or got[d, n] <= hit[0]
+            assert (d, n) not in got or len(text) == 4000 or hit[0] == got[d, n]
+
+
 def test_components(spark):
     random.seed(1)
     links = [(random.randrange(300), random.randrange(300)) for _ in range(180)] + [(1000, k) for k in range(1001, 1100)] + [(k, k + 1) for k in range(2000, 2060)] + [(5, 5), (None, 1)]

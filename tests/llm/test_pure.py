@@ -36,6 +36,29 @@ def test_shingle_sets(texts, limit):
             assert len(np.intersect1d(sets[a], sets[b])) == len(shingles(texts[a]) & shingles(texts[b]))
 
 
+def test_hashes_of_structured_texts():
+    """Thue-Morse words and their complements collide under any polynomial modulo a power of two."""
+    for k in (3, 6, 10, 11, 14):
+        morse = "".join("ab"[bin(i).count("1") & 1] for i in range(1 << k))
+        pair = [morse, morse.translate(str.maketrans("ab", "ba"))]
+        (a, b) = vec.shingle_sets(*next(iter(vec.slices(pa.array([f"one two three four {x}" for x in pair]), 1 << 30)))[2:])
+        assert a.tolist() != b.tolist()
+        _, _, data, at = next(iter(vec.slices(pa.array(pair), 1 << 30)))
+        _, _, _, _, h1, h2 = line_dedup.line_keys(data, at, 1)
+        assert h1[0] != h1[1] and h2[0] != h2[1]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=150), max_size=12))
+def test_range_hashes_tell_ranges_apart(parts):
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    edge = np.cumsum([0, *map(len, parts)])
+    got = vec.range_hashes(data, edge[:-1], edge[1:]).tolist()
+    for a, x in zip(got, parts):
+        for b, y in zip(got, parts):
+            assert (a == b) == (x == y)
+
+
 def test_slices_of_sliced_arrays():
     array = pa.array(["aa", None, "", "bcd", "e" * 50])[1:]
     got = [bytes(data[at[k] : at[k + 1]]) for _, _, data, at in vec.slices(array, 4) for k in range(len(at) - 1)]
@@ -118,18 +141,37 @@ def test_myers_distance(item, text, most):
 @given(st.integers(0, 10**9))
 def test_leaks_within_the_budget_are_found(seed):
     rng = random.Random(seed)
-    item = "".join(rng.choice("abcdefgh ") for _ in range(60)).strip()
+    item = decontaminate.normalise("".join(rng.choice("abcdefgh ") for _ in range(60)))
     finder = decontaminate.LeakFinder([(7, item)], 0.1)
     leaked = list(item)
     for _ in range(rng.randint(0, 8)):
         k = rng.randrange(len(leaked))
         leaked[k : k + rng.randint(0, 1)] = [rng.choice("abcdefgh")] if rng.random() < 0.5 else []
-    text = "".join(rng.choice("xyz ") for _ in range(rng.randint(0, 80))) + "".join(leaked) + "".join(rng.choice("xyz ") for _ in range(rng.randint(0, 80)))
+    text = decontaminate.normalise("".join(rng.choice("xyz ") for _ in range(rng.randint(0, 80))) + "".join(leaked) + "".join(rng.choice("xyz ") for _ in range(rng.randint(0, 80))))
     want = brute_distance(item, text)
     got = finder.search(text)
     assert [g[:2] for g in got] == ([(7, want)] if want <= finder.budget[0] else [])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abc ,.", max_size=80), max_size=6), st.lists(st.text("abc ", min_size=14, max_size=60), min_size=1, max_size=4))
+def test_rows_are_searched_as_texts(texts, items):
+    """Rows of one buffer, empty ones among them, against the best distance of each item to each text."""
+    items = [(k, decontaminate.normalise(x)) for k, x in enumerate(items) if len(decontaminate.normalise(x)) >= decontaminate.SHORT_CHARS]
+    finder, got = decontaminate.LeakFinder(items, 0.1, 20), []
+    for _, _, data, at in vec.slices(pa.array(texts, pa.string()), 60):
+        got += [sorted(x[:2] for x in row) for row in finder.search_rows(data, at)]
+    for text, row in zip(map(decontaminate.normalise, texts), got):
+        want = []
+        for n, item in items:
+            if len(item) < 20:
+                if f" {item} " in f" {text} ":
+                    want.append((n, 0))
+            elif (d := brute_distance(item, text)) <= int(0.1 * len(item)):
+                want.append((n, d))
+        assert row == want
+
+
 def test_normal_form():
     assert decontaminate.normalise("  Été,\nA--b ÑÜ×÷\t") == "été a b ñü×÷".encode().decode("latin-1")
     assert decontaminate.normalise("") == "" and decontaminate.normalise(" ,. ") == ""
@@ -235,6 +277,18 @@ def test_rules_are_filed_under_their_rarest_token():
     assert index.tried == 0  # no token fetches a rule, so no expression runs
 
 
+RULES = [url_filter.SiteRule("org", "/", "allow"), url_filter.SiteRule("example.org", "/es/", "block"), url_filter.SiteRule("example.org", "/en/1", "block"), url_filter.SiteRule("com", "/fr/", "allow"), url_filter.SiteRule("com", "/de/", "block")]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["example", "org", "com", ".", "x", "\n", "a", ":80", "-"]), max_size=6), st.lists(st.sampled_from(["/", "es", "en", "1", "fr", "de", "\n", "org", ".", "com", "x"]), max_size=7))
+def test_rules_against_a_plain_loop(host, path):
+    host, path = "".join(host), "/" + "".join(path) if path else ""
+    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.name), default=None)
+    assert url_filter.RuleIndex(RULES, [], {}).judge(host, path) == ((best.name, best.verdict) if best else (None, None))
+
+
 def test_latent_votes():
     rng = np.random.default_rng(0)
     counts = np.zeros((60, quality.BINS), np.float32)
