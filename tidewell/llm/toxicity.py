@@ -6,7 +6,9 @@ terms' factors for every pair of terms, so a pair such as an insult and the
 mention of a group can count for more than its two parts (Rendle, 2010).
 
 It is learnt on a bounded sample of labelled rows (``sample_rows``, a
-parameter).  Terms that the sample ties to the label go into the machine, the
+parameter).  Terms that the sample ties to the label go into the machine, by
+themselves or in a pair: two terms whose joint presence tells more about the
+label than both do singly go in even if neither tells anything alone.  The
 others have weight zero; the model is a table of bounded size and is broadcast.
 
 Defined cases: null and empty texts have no terms and get the bias alone;
@@ -35,6 +37,9 @@ BINS = 1 << 20
 TERMS = 1024
 #: Likelihood ratio (chi-square scale) from which a term counts as tied to the label; so many of the best go in at least.
 LEAST_TIE, FEW_TERMS = 8.0, 64
+#: Terms whose pairs are compared (the most variable ones), the gain in likelihood ratio from which a pair counts
+#: (two million pairs are tried, and chance alone gives about 30), and how many terms may go in by pairs.
+PAIR_TERMS, LEAST_GAIN, PAIRED = 2048, 40.0, 256
 FACTORS = 8
 ROUNDS = 200
 #: Bytes of a word's heads that are terms beside the word, so that forms of a word not seen in the sample count.
@@ -69,6 +74,38 @@ def term_bins(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys // BINS, keys % BINS
 
 
+def likelihood_ratio(held: np.ndarray, count: np.ndarray, positive: int, n: int) -> np.ndarray:
+    """Of label and presence (chi-square scale), from the positive rows and all rows that hold a term; sound for terms that one label never has."""
+    tie = np.zeros(np.shape(count))
+    for own, out_of in ((held, positive), (count - held, n - positive)):
+        for cell, share in ((own, count), (out_of - own, n - count)):
+            tie += cell * np.log(np.maximum(cell, 1e-300) * n / np.maximum(share * float(out_of), 1e-300))
+    return 2 * tie
+
+
+def paired_terms(x: np.ndarray, positive: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """Columns of ``x`` (rows by terms, 0 or 1) that tell more in some pair than the pair's terms do singly, best first."""
+    n, total = len(x), int(positive.sum())
+    with_label, best = x[positive], np.full(x.shape[1], -np.inf)
+    for k in range(0, x.shape[1], 256):
+        both, held = (x[:, k : k + 256].T @ x).astype(np.float64), (with_label[:, k : k + 256].T @ with_label).astype(np.float64)
+        gain = likelihood_ratio(held, both, total, n) - single[k : k + 256, None] - single[None, :]
+        gain[np.arange(len(gain)), np.arange(k, k + len(gain))] = -np.inf
+        best[k : k + 256] = gain.max(axis=1, initial=-np.inf)
+    order = np.argsort(-best, kind="stable")
+    return order[best[order] >= LEAST_GAIN][:PAIRED]
+
+
+def presence(rows: np.ndarray, bins: np.ndarray, n: int, slot: np.ndarray) -> np.ndarray:
+    """Rows by the sorted bins ``slot``, 1 where a row holds the bin."""
+    x = np.zeros((n, len(slot)), np.float32)
+    if len(slot):
+        at = np.minimum(np.searchsorted(slot, bins), len(slot) - 1)
+        held = slot[at] == bins
+        x[rows[held], at[held]] = 1
+    return x
+
+
 @dataclass
 class FactorizationMachine:
     slot: np.ndarray  # sorted bins that have weights
@@ -82,18 +119,16 @@ class FactorizationMachine:
         total = np.bincount(bins, minlength=BINS)
         with_label = np.bincount(bins[positive[rows]], minlength=BINS)
         seen = np.flatnonzero(total >= 3)
-        # likelihood ratio of term and label: sound for terms that one label never has
-        a, both = with_label[seen].astype(float), total[seen].astype(float)
-        tie = np.zeros(len(seen))
-        for count, out_of in ((a, positive.sum()), (both - a, n - positive.sum())):
-            for cell, share in ((count, both), (out_of - count, n - both)):
-                tie += cell * np.log(np.maximum(cell, 1e-300) * n / np.maximum(share * out_of, 1e-300))
+        tie = likelihood_ratio(with_label[seen].astype(float), total[seen].astype(float), int(positive.sum()), n)
         by_tie = np.lexsort((seen, -tie))
-        slot = np.sort(seen[by_tie[: max(FEW_TERMS, int((2 * tie >= LEAST_TIE).sum()))]][:terms])
-        x = np.zeros((n, len(slot)), np.float32)
-        at = np.searchsorted(slot, bins)
-        held = (at < len(slot)) & (slot[np.minimum(at, max(0, len(slot) - 1))] == bins) if len(slot) else np.zeros(len(bins), bool)
-        x[rows[held], at[held]] = 1
+        slot = seen[by_tie[: max(FEW_TERMS, int((tie >= LEAST_TIE).sum()))]][: terms - min(PAIRED, terms // 4)]
+        varied = np.minimum(total[seen], n - total[seen])
+        some = np.sort(np.lexsort((seen, -varied))[:PAIR_TERMS])
+        some = some[varied[some] >= 8]
+        if len(some):
+            slot = np.concatenate((slot, seen[some[paired_terms(presence(rows, bins, n, seen[some]), positive, tie[some])]]))
+        slot = np.unique(slot)
+        x = presence(rows, bins, n, slot)
         rate = min(max(labels.mean(), 1e-3), 1 - 1e-3)
         theta = [np.array([np.log(rate / (1 - rate))], np.float32), np.zeros(len(slot), np.float32), (np.random.default_rng(0).standard_normal((len(slot), factors)) * 0.02).astype(np.float32)]
         decay, moments = (0.0, 5e-5, 5e-4), [(np.zeros_like(t), np.zeros_like(t)) for t in theta]
