@@ -122,6 +122,37 @@ def test_pii_adds_what_the_base_cannot_hold(spark):
     assert all(rows[k]["spans"] == rows[k]["base"] and len(rows[k]["base"]) == 4 for k in range(len(plain)))
 
 
+BASE_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(digits := re.sub("[^0-9]", "", m)) <= 19 and sum(int(d) if k % 2 == 0 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(reversed(digits))) % 10 == 0),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(re.sub("[^0-9]", "", m)) <= 15),
+}
+
+
+def plain_spans(text):
+    return [f"{kind}:{m.start()}:{m.end()}" for kind, (pattern, good) in BASE_KINDS.items() for m in re.finditer(pattern, text or "") if good(m[0])]
+
+
+def test_pii_base_against_plain_patterns(spark):
+    """Every document of a table, by the contract's patterns as they stand."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["id"]: r["b"].split(",") if r["b"] else [] for r in pii.find_pii(docs).select("id", pii.joined_spans("base").alias("b")).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert got == {i: plain_spans(t) for i, t in texts.items()} and any(got.values())
+
+
+def test_pii_in_a_text_of_very_many_spans(spark):
+    import time
+
+    one = "7.8.9.1 é me@some.org, +49 30 1234567, 4845168114407329; "
+    start = time.perf_counter()
+    row = pii.find_pii(spark.createDataFrame([(1, one * 10_000), (2, one)], "doc_id long, text string")).where("id = 1").select(pii.joined_spans("base").alias("b")).first()
+    assert time.perf_counter() - start < 90
+    found = row["b"].split(",")
+    assert len(found) == 40_000 and found == plain_spans(one * 10_000)
+
+
 def test_decontaminate(spark, odd, none):
     item = "The quick brown fox jumps over the lazy dog while nobody looks."
     bench = spark.createDataFrame([(1, item, 0), (2, item.upper(), 0), (3, None, 0), (4, "short", 0), (5, "Who wrote Hamlet?", 0)], "item_id long, text string, doc_id long")

@@ -321,6 +321,29 @@ def test_machine_learns_a_pair():
         assert np.log(score[k] / (1 - score[k])) == pytest.approx(model.bias + model.weight[at].sum() + pairs, abs=1e-3)
 
 
+@pytest.mark.parametrize("others", [0, 200, 900])
+def test_machine_finds_a_pair_among_other_terms(others):
+    """Neither of the two tells anything alone, while many other terms are weakly tied to the label."""
+    rng = np.random.default_rng(1)
+    n = 4000
+    a, b = rng.random(n) < 0.5, rng.random(n) < 0.5
+    y = (a == b).astype(np.float32)
+    noise = rng.random((n, others)) < 0.3 + 0.07 * y[:, None]
+    held = np.concatenate((a[:, None], b[:, None], noise), axis=1)
+    rows, bins = np.nonzero(held)
+    train = rows < 3000
+    model = toxicity.FactorizationMachine.fit(rows[train], bins[train] * 7 + 3, y[:3000])
+    assert {3, 10} <= set(model.slot.tolist())
+    score = model.score(1000, rows[~train] - 3000, bins[~train] * 7 + 3)
+    assert ((score > 0.5) == (y[3000:] > 0)).mean() > 0.85
+    # terms that are only noise go in by no pair
+    x = noise[:, :100].astype(np.float32)[:, : max(1, others)]
+    if others:
+        flat = rng.random(n) < 0.5
+        single = toxicity.likelihood_ratio(x[flat].sum(axis=0), x.sum(axis=0), int(flat.sum()), n)
+        assert not len(toxicity.paired_terms(x, flat, single))
+
+
 def test_term_bins():
     texts = ["Trash### trash", "", "été"]
     data = np.frombuffer("".join(texts).encode(), np.uint8)
@@ -332,9 +355,9 @@ def test_term_bins():
 def test_trees():
     counts = [(1, 90, 90), (0, 200, 2), (3, 10, 10), (2, 50, 0)]  # bit 0 makes the label
     model = pii.BoostedTrees.fit(counts)
-    assert model.margin(1) > model.threshold - 1e-6 and model.margin(3) > model.threshold - 1e-6
-    assert model.margin(0) < model.threshold and model.margin(2) < model.threshold
-    assert pii.BoostedTrees.fit([]).threshold == float("inf")
+    assert model.margin(1) > model.thresholds[0] - 1e-6 and model.margin(3) > model.thresholds[0] - 1e-6
+    assert model.margin(0) < model.thresholds[0] and model.margin(2) < model.thresholds[0]
+    assert pii.BoostedTrees.fit([]).thresholds == {}
 
 
 def test_crc_fold():

@@ -13,12 +13,16 @@ of their kind or are well-formed in normal form; negatives are ill-formed, part
 of a longer word, or overlap only base spans of another kind.  Well-formed
 national telephone numbers with neither an area code in brackets nor a telling
 context have no label: they are scored, but neither fitted nor calibrated on.  The trees become nested CASE
-expressions, and the score from which on spans are redacted is calibrated on
-the counts to a precision.
+expressions, and each kind's score from which on spans are redacted is
+calibrated to a precision on candidates of documents that were held out.
+
+Positions are running sums over a document's matches, and whether a candidate
+meets a base span is read from running extremes over its spans in order: both
+are windows over small rows, one for each match, so texts never move and a
+document with very many spans costs a sort of them.
 
 Defined cases: null text is the empty text and has no spans; offsets are code
-points, end exclusive; texts are searched whole, in time linear in their
-length; rows are judged one by one, so equal rows get equal results; a corpus
+points, end exclusive; texts are searched whole; rows are judged one by one, so equal rows get equal results; a corpus
 without candidates fits no trees and has the base spans only; other columns
 are not read.
 """
@@ -28,6 +32,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Workspace, no_null
@@ -57,24 +62,23 @@ CODES = len(KINDS) << len(BITS)
 ROUNDS, RATE, DEPTH = 24, 0.4, 2
 PRECISION = 0.95
 
-_SPAN = "array<struct<s:int,e:int,m:string>>"
+#: Every so many-th document is held out for calibration; kinds with fewer held-out labels than this are calibrated on all, and with
+#: fewer for all kinds none are held out.
+FOLDS, LEAST_HELD = 4, 40
 
 
 def _quote(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def spans_sql(pattern: str, needs: str) -> str:
-    """Positions of all matches: what stands between them gives the distances."""
-    rx = _quote(pattern)
-    return f"""
-        CASE WHEN {needs} THEN aggregate(
-            zip_with(split(text, {rx}, -1), regexp_extract_all(text, {rx}, 0), (p, m) -> struct(length(p) AS p, m AS m)),
-            named_struct('at', 0, 'out', CAST(array() AS {_SPAN})),
-            (a, x) -> CASE WHEN x.m IS NULL THEN a ELSE named_struct('at', a.at + x.p + length(x.m),
-                'out', array_append(a.out, named_struct('s', a.at + x.p, 'e', a.at + x.p + length(x.m), 'm', x.m))) END,
-            a -> a.out)
-        ELSE CAST(array() AS {_SPAN}) END"""
+def _matches(name: str, k: int) -> str:
+    """array of (pattern, nth, gap before, match, characters around) from the pieces p_ and matches m_ of a split text."""
+    p, m = f"p_{name}", f"m_{name}"
+    zipped = f"arrays_zip({p}, {m}, slice({p}, 2, size({p})), slice({m}, 2, size({p})), concat(array(''), {p}), concat(array(''), {m}))"
+    before = f"right(concat(right(x.`4`, {CONTEXT_CHARS}), right(x.`5`, {CONTEXT_CHARS}), right(x.{p}, {CONTEXT_CHARS})), {CONTEXT_CHARS})"
+    after = "left(concat(left(x.`2`, 1), coalesce(left(x.`3`, 1), '')), 1)"
+    return f"""transform(filter({zipped}, x -> x.{m} IS NOT NULL), (x, i) -> named_struct('pattern', {k}, 'nth', i, 'gap', length(x.{p}),
+        'm', x.{m}, 'before', {before}, 'after', {after}))"""
 
 
 def _digits(x: str) -> str:
@@ -93,9 +97,9 @@ def _octets(x: str) -> str:
 
 BASE_VALID = {
     "email": "true",
-    "ip": _octets("x.m"),
-    "card": f"(length({_digits('x.m')}) BETWEEN 16 AND 19 AND {luhn_sql(_digits('x.m'))})",
-    "phone": f"(length({_digits('x.m')}) BETWEEN 8 AND 15)",
+    "ip": _octets("m"),
+    "card": f"(length({_digits('m')}) BETWEEN 16 AND 19 AND {luhn_sql(_digits('m'))})",
+    "phone": f"(length({_digits('m')}) BETWEEN 8 AND 15)",
 }
 
 
@@ -104,8 +108,8 @@ def _rlike(x: str, pattern: str) -> str:
 
 
 #: A candidate e-mail address with its spelt-out marks undone.
-PLAIN_EMAIL = f"regexp_replace(regexp_replace(x.m, {_quote(r' ?(?:@|[(]at[)]|\[at\]|[{]at[}]) ?')}, '@'), {_quote(r' [.] | ?(?:[(]dot[)]|\[dot\]|[{]dot[}]) ?')}, '.')"
-_CONTEXT = f"lower(substring(text, greatest(x.s - {CONTEXT_CHARS} + 1, 1), least(x.s, {CONTEXT_CHARS}))) rlike '{CONTEXT_WORDS}'"
+PLAIN_EMAIL = f"regexp_replace(regexp_replace(m, {_quote(r' ?(?:@|[(]at[)]|\[at\]|[{]at[}]) ?')}, '@'), {_quote(r' [.] | ?(?:[(]dot[)]|\[dot\]|[{]dot[}]) ?')}, '.')"
+_CONTEXT = f"lower(before) rlike '{CONTEXT_WORDS}'"
 #: Telephone numbers without '+': an area code in brackets, groups of 3, 3 and 4, or a leading zero (in one run only where the context says so).
 NATIONAL = (
     r"^(?:[0-9]{1,3}[ .-]?)?[(](?!(?:19|20)[0-9]{2}[)])0?[0-9]{1,5}[)][ ./-]{0,2}[0-9]{2,8}(?:[ .-][0-9]{2,5})*$",
@@ -115,57 +119,72 @@ NATIONAL = (
 )
 SHAPES = {
     "email": _rlike(PLAIN_EMAIL, r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+$"),
-    "ip": _rlike("x.m", r"^[0-9]+(?:(?:[.]|\[[.]\]|[(][.][)]| [.] )[0-9]+){3}$"),
-    "card": f"({_rlike('x.m', r'^[0-9](?:[ -]?[0-9])+$')} OR {_rlike('x.m', r'^[0-9]{4}([^0-9]{1,3})[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1?[0-9]{1,3})?$')})",
-    "phone": f"(startswith(x.m, '+') OR {' OR '.join(_rlike('x.m', p) for p in NATIONAL)} OR x.m rlike '^0[0-9]{{8,12}}$' AND {_CONTEXT})",
+    "ip": _rlike("m", r"^[0-9]+(?:(?:[.]|\[[.]\]|[(][.][)]| [.] )[0-9]+){3}$"),
+    "card": f"({_rlike('m', r'^[0-9](?:[ -]?[0-9])+$')} OR {_rlike('m', r'^[0-9]{4}([^0-9]{1,3})[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1?[0-9]{1,3})?$')})",
+    "phone": f"(startswith(m, '+') OR {' OR '.join(_rlike('m', p) for p in NATIONAL)} OR m rlike '^0[0-9]{{8,12}}$' AND {_CONTEXT})",
 }
 #: Well-formed candidates that count as positives without a base span.  Other national numbers have no label: they are scored only.
-STRONG = {"email": "true", "ip": "true", "card": "true", "phone": f"(startswith(x.m, '(') OR {_CONTEXT})"}
+STRONG = {"email": "true", "ip": "true", "card": "true", "phone": f"(startswith(m, '(') OR {_CONTEXT})"}
 
 
 def _bits_sql(kind: str) -> str:
     valid = BASE_VALID[kind] if kind != "email" else _rlike(PLAIN_EMAIL, "[.][A-Za-z]{2,}$")
-    around = {"before": "x.s > 0 AND substring(text, x.s, 1) rlike '[A-Za-z0-9]'", "after": "substring(text, x.e + 1, 1) rlike '[A-Za-z0-9]'"}
-    tests = {"valid": valid, "shape": SHAPES[kind], "context": _CONTEXT, "sixteen": f"length({_digits('x.m')}) = 16", **around}
+    around = {"before": "right(before, 1) rlike '[A-Za-z0-9]'", "after": "after rlike '[A-Za-z0-9]'"}
+    tests = {"valid": valid, "shape": SHAPES[kind], "context": _CONTEXT, "sixteen": f"length({_digits('m')}) = 16", **around}
     return " + ".join([str(KINDS.index(kind) << len(BITS)), *(f"CASE WHEN {tests[b]} THEN {1 << k} ELSE 0 END" for k, b in enumerate(BITS))])
 
 
-def _label_sql(kind: int) -> str:
-    """Of a candidate z: true, false or null."""
-    bit = {b: 1 << k for k, b in enumerate(BITS)}
-    form, glued = bit["valid"] | bit["shape"], bit["before"] | bit["after"]
-    return f"""CASE WHEN exists(base, b -> b.kind = {kind} AND b.s >= z.s AND b.e <= z.e) THEN true
-        WHEN exists(base, b -> b.s < z.e AND z.s < b.e) OR (z.code & {form}) <> {form} OR (z.code & {glued}) <> 0 THEN false
-        WHEN z.strong THEN true END"""
-
-
-def find_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, candidates): base spans (kind, s, e), and proposed spans with their code and label."""
-    docs = df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"))
-    found = docs.select(
-        "id", "text", *(F.expr(spans_sql(BASE[k], NEEDS[k])).alias(f"raw_{k}") for k in KINDS),
-        F.expr(spans_sql(WIDE_EMAIL, WIDE_NEEDS["email"])).alias("wide_email"), F.expr(spans_sql(WIDE_DIGITS, WIDE_NEEDS["digits"])).alias("wide_digits"),
-    )
-    base = ", ".join(f"transform(filter(raw_{k}, x -> {BASE_VALID[k]}), x -> named_struct('kind', {n}, 's', x.s, 'e', x.e))" for n, k in enumerate(KINDS))
-    found = found.select("id", "text", "wide_email", "wide_digits", F.expr(f"concat({base})").alias("base"))
+#: Of a candidate: true, false or null.  ``own_end`` is the end of the next base span of its kind, ``meets`` whether it overlaps any.
+_bit = {b: 1 << k for k, b in enumerate(BITS)}
+_LABEL = f"""CASE WHEN base THEN NULL WHEN own_end <= e THEN true
+    WHEN meets OR (code & {_bit["valid"] | _bit["shape"]}) <> {_bit["valid"] | _bit["shape"]} OR (code & {_bit["before"] | _bit["after"]}) <> 0 THEN false
+    WHEN strong THEN true END"""
+
+
+def find_matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, id, matches) of every row: all matches of the patterns in order, with what stands around them."""
+    patterns = {**{k: (BASE[k], NEEDS[k]) for k in KINDS}, "wide_email": (WIDE_EMAIL, WIDE_NEEDS["email"]), "wide_digits": (WIDE_DIGITS, WIDE_NEEDS["digits"])}
+    docs = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text"))
+    cut = []
+    for name, (pattern, needs) in patterns.items():
+        rx = _quote(pattern)
+        cut += [F.expr(f"CASE WHEN {needs} THEN split(text, {rx}, -1) ELSE array('') END").alias(f"p_{name}"), F.expr(f"CASE WHEN {needs} THEN regexp_extract_all(text, {rx}, 0) ELSE CAST(array() AS array<string>) END").alias(f"m_{name}")]
+    parts = ", ".join(_matches(name, k) for k, name in enumerate(patterns))
+    return docs.select("row", "id", *cut).select("row", "id", F.expr(f"concat({parts})").alias("matches"))
+
+
+def find_spans(matches: DataFrame) -> DataFrame:
+    """(row, id, kind, s, e, base, code, meets, y): base spans, and candidates with their code and label; each row also gives one of nulls, so that none is lost."""
+    rows = matches.select("row", "id", F.expr("explode(array_append(matches, NULL))").alias("x")).select("row", "id", "x.*").repartition("row")
+    ends = F.sum(F.col("gap") + F.length("m")).over(W.partitionBy("row", "pattern").orderBy("nth").rowsBetween(W.unboundedPreceding, 0)).cast("int")
+    rows = rows.withColumn("e", ends).withColumn("s", F.col("e") - F.length("m"))
     # the same digits may be read as several kinds: the candidates overlap
-    length = f"length({_digits('x.m')})"
-    sets = {
-        "email": "wide_email", "ip": f"filter(wide_digits, x -> {length} BETWEEN 4 AND 12 AND length(regexp_replace(x.m, '[0-9]+', '')) >= 3)",
-        "card": f"filter(wide_digits, x -> {length} BETWEEN 13 AND 19)", "phone": f"filter(wide_digits, x -> {length} BETWEEN 7 AND 15)",
-    }
-    parts = ", ".join(
-        f"transform(transform({sets[k]}, x -> named_struct('s', x.s, 'e', x.e, 'code', CAST({_bits_sql(k)} AS INT), 'strong', {STRONG[k]})), z -> named_struct('kind', {n}, 's', z.s, 'e', z.e, 'code', z.code, 'y', {_label_sql(n)}))"
-        for n, k in enumerate(KINDS)
-    )
-    return found.select("id", "base", F.expr(f"concat({parts})").alias("candidates"))
+    length, wide = f"length({_digits('m')})", len(KINDS)
+    valid = " ".join(f"WHEN {k} THEN CASE WHEN {BASE_VALID[kind]} THEN array({k}) END" for k, kind in enumerate(KINDS))
+    kinds = f"""CASE pattern {valid} WHEN {wide} THEN array(0) WHEN {wide + 1} THEN filter(array(
+        CASE WHEN {length} BETWEEN 4 AND 12 AND length(regexp_replace(m, '[0-9]+', '')) >= 3 THEN 1 END, CASE WHEN {length} BETWEEN 13 AND 19 THEN 2 END,
+        CASE WHEN {length} BETWEEN 7 AND 15 THEN 3 END), k -> k IS NOT NULL) END"""
+    rows = rows.withColumn("kind", F.explode_outer(F.expr(kinds))).where("kind IS NOT NULL OR pattern IS NULL").withColumn("base", F.expr(f"kind IS NOT NULL AND pattern < {wide}"))
+    code = " ".join(f"WHEN kind = {k} THEN {_bits_sql(kind)}" for k, kind in enumerate(KINDS))
+    strong = " ".join(f"WHEN kind = {k} THEN {STRONG[kind]}" for k, kind in enumerate(KINDS))
+    rows = rows.select("row", "id", "kind", "s", "e", "base", F.expr(f"CASE WHEN base THEN NULL {code} END").cast("int").alias("code"), F.expr(f"CASE WHEN base THEN NULL {strong} END").alias("strong"))
+    own_base = F.when(F.col("base"), F.struct("s", "e"))
+    rows = rows.withColumns({
+        "last_end": F.max(F.when(F.col("base"), F.col("e"))).over(W.partitionBy("row").orderBy("s")),
+        "next_start": F.min(F.when(F.col("base"), F.col("s"))).over(W.partitionBy("row").orderBy(F.desc("s"))),
+        # base spans of a kind do not overlap, so of those that begin later the next one ends first
+        "own_end": F.min(own_base).over(W.partitionBy("row", "kind").orderBy(F.desc("s")))["e"],
+    })
+    rows = rows.withColumn("meets", F.expr("coalesce(last_end > s OR next_start < e, last_end > s, next_start < e, false)"))
+    return rows.select("row", "id", "kind", "s", "e", "base", "code", "meets", F.expr(_LABEL).alias("y"))
 
 
 class BoostedTrees:
     """Additive trees over the bits of a code: nested (bit, if set, if not set) with numbers as leaves."""
 
-    def __init__(self, bias: float, trees: list, threshold: float):
-        self.bias, self.trees, self.threshold = bias, trees, threshold
+    def __init__(self, bias: float, trees: list):
+        self.bias, self.trees = bias, trees
+        self.thresholds: dict[int, float] = {}  # by kind; a kind without one adds nothing
 
     @staticmethod
     def _grow(rows: list[tuple], depth: int):
@@ -196,11 +215,13 @@ class BoostedTrees:
         return self.bias + sum(self._value(t, code) for t in self.trees)
 
     @classmethod
-    def fit(cls, counts: list[tuple[int, int, int]], precision: float = PRECISION) -> BoostedTrees:
-        """From (code, candidates, positives)."""
+    def fit(cls, counts: list[tuple[int, int, int]], held: list[tuple[int, int, int]] | None = None, precision: float = PRECISION) -> BoostedTrees:
+        """From (code, candidates, positives); thresholds from ``held``, the like of other documents, where a kind has enough of it."""
+        if sum(n for _, n, _ in held or []) < LEAST_HELD * len(KINDS):  # too few to hold any out
+            counts, held = [*counts, *(held or [])], None
         counts = sorted(counts)
         total, positive = sum(n for _, n, _ in counts), sum(p for _, _, p in counts)
-        model = cls(math.log((positive + 0.5) / (total - positive + 0.5)), [], math.inf)
+        model = cls(math.log((positive + 0.5) / (total - positive + 0.5)), [])
         if not total:
             return model
         margins = [model.bias] * len(counts)
@@ -212,15 +233,25 @@ class BoostedTrees:
             tree = cls._grow(rows, DEPTH)
             model.trees.append(tree)
             margins = [m + cls._value(tree, code) for m, (code, _, _) in zip(margins, counts)]
-        # the lowest score at which everything from it on is still precise
+        for kind in range(len(KINDS)):
+            part = [x for x in held or [] if x[0] >> len(BITS) == kind]
+            if sum(n for _, n, _ in part) < LEAST_HELD:
+                part = [x for x in [*counts, *(held or [])] if x[0] >> len(BITS) == kind]
+            model._calibrate(kind, part, precision)
+        return model
+
+    def _calibrate(self, kind: int, part: list[tuple[int, int, int]], precision: float) -> None:
+        """The kind's lowest score at which everything from it on is still precise and likelier right than wrong."""
+        by_score: dict[float, list[int]] = {}
+        for code, n, p in part:
+            both = by_score.setdefault(round(self.margin(code), 9), [0, 0])
+            both[0], both[1] = both[0] + n, both[1] + p
         taken = right = 0
-        for m, (_, n, p) in sorted(zip(margins, counts), key=lambda x: -x[0]):
+        for m, (n, p) in sorted(by_score.items(), reverse=True):
             taken, right = taken + n, right + p
-            if right >= precision * taken and p >= precision * n:
-                model.threshold = m
-            else:
+            if m <= 0 or right < precision * taken or p < precision * n:
                 break
-        return model
+            self.thresholds[kind] = m
 
     def sql(self, code: str) -> str:
         def case(tree) -> str:
@@ -231,21 +262,26 @@ class BoostedTrees:
         return " + ".join([f"{self.bias!r}D", *map(case, self.trees)])
 
 
-def fit_trees(found: DataFrame) -> BoostedTrees:
-    counts = found.select(F.explode("candidates").alias("c")).where("c.y is not null").groupBy("c.code").agg(F.count(F.lit(1)).alias("n"), F.count_if("c.y").alias("p"))
-    return BoostedTrees.fit([(r["code"], r["n"], r["p"]) for r in counts.collect()])
+def fit_trees(spans: DataFrame) -> BoostedTrees:
+    fold = F.pmod(F.xxhash64("row"), F.lit(FOLDS)) == 0
+    counts = spans.where("y is not null").groupBy("code", fold.alias("held")).agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("p")).collect()
+    return BoostedTrees.fit(*([(r["code"], r["n"], r["p"]) for r in counts if r["held"] == held] for held in (False, True)))
 
 
 def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", work: Workspace | None = None) -> DataFrame:
     """(id, base, spans): arrays of (kind, s, e), kinds numbered as in KINDS, in order; ``spans`` has the base and what the trees add."""
     work = work or Workspace(df.sparkSession, "pii")
-    found = work.keep(find_candidates(df, id_col, text_col), "candidates")
-    trees = fit_trees(found)
-    if math.isinf(trees.threshold):
-        return found.select("id", F.array_sort("base").alias("base"), F.array_sort("base").alias("spans"))
-    extra = f"""transform(filter(candidates, c -> ({trees.sql("c.code")}) >= {trees.threshold - 1e-9!r}D
-        AND NOT exists(base, b -> b.s < c.e AND c.s < b.e)), c -> named_struct('kind', c.kind, 's', c.s, 'e', c.e))"""
-    return found.select("id", F.array_sort("base").alias("base"), F.expr(f"array_sort(array_distinct(concat(base, {extra})))").alias("spans"))
+    spans = work.keep(find_spans(work.keep(find_matches(df, id_col, text_col), "matches")), "spans")
+    work.drop("matches")
+    trees = fit_trees(spans)
+    least = " ".join(f"WHEN {k} THEN {t - 1e-6!r}D" for k, t in sorted(trees.thresholds.items()))
+    added = f"NOT base AND NOT meets AND ({trees.sql('code')}) >= CASE kind {least} END" if least else "false"
+    span = F.struct("kind", "s", "e")
+    rows = spans.withColumn("added", F.coalesce(F.expr(added), F.lit(False)))
+    return rows.groupBy("row").agg(
+        F.first("id").alias("id"), F.array_sort(F.collect_list(F.when(F.col("base"), span))).alias("base"),
+        F.array_sort(F.collect_list(F.when(F.col("base") | F.col("added"), span))).alias("spans"),
+    ).drop("row")
 
 
 def redact(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
