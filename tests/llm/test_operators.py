@@ -54,6 +54,13 @@ def test_history_grows_by_batches(spark):
         r = found[sha(f"t{k}")]
         assert r["member"] == (k < 5) and r["winner"] == max(i for i in range(20) if i % 7 == k) and r["n"] == len([i for i in range(20) if i % 7 == k])
     assert sorted(bytes(r["digest"]).hex() for r in history.entries().collect()) == sorted(sha(f"t{k}") for k in range(5))
+    history.save(work.path("saved"))
+    later = exact_dedup.DigestHistory.open(spark, work.path("saved"))
+    got = {r["id"]: r for r in exact_dedup.exact_dedup(rows(range(5, 20)), history=later).collect()}
+    assert set(got) == set(range(5, 20))
+    for i, r in got.items():
+        same = [j for j in range(20) if j % 7 == i % 7]
+        assert (r["winner"], r["n"]) == (max(same), len(same))
 
 
 def test_bpe_round_trip(spark, odd, none):

@@ -79,6 +79,18 @@ def test_minimal_perfect_hash(n):
     assert ((other >= -1) & (other < max(n, 1))).all()  # claims of nonmembers are only claims
 
 
+def test_keys_that_no_level_settles(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(exact_dedup, "MAX_LEVELS", 1)
+    keys, other = digests(300), digests(20, 1)
+    rows = lambda m: pd.DataFrame({"digest": [x.tobytes() for x in m], "winner": pd.array(range(len(m)), "Int64"), "n": 1})
+    index = exact_dedup._index_bucket((0,), rows(keys), 1)
+    assert sum(np.unpackbits(np.frombuffer(index["levels"][0], np.uint8))) < 300
+    found = exact_dedup._lookup_bucket((0,), rows(np.concatenate((keys, other))), index)
+    assert found["member"].tolist() == [True] * 300 + [False] * 20 and found["n"].tolist() == [2] * 300 + [1] * 20
+
+
 def toy_ranks():
     ranks = {bytes([b]): b for b in range(256)}
     for k, t in enumerate((b"ab", b"bc", b"abc", b"aa", b"aaaa", b"ca", b"abcab", b" a", b"aab")):

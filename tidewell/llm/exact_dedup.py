@@ -6,7 +6,8 @@ the digest's first bytes.  Every bucket holds a minimal perfect hash in the
 levelled bit-array form (Limasset et al., "Fast and scalable minimal perfect
 hashing", 2017): a key that is alone in its position of a level is settled
 there, the others go to the next level, and the rank of a settled bit is the
-slot.  A slot holds the full 32-byte digest, so a lookup compares bytes and a
+slot.  Keys that no level settles (none in practice) take the last slots and are
+looked up among themselves.  A slot holds the full 32-byte digest, so a lookup compares bytes and a
 digest that is not a member is never taken for one.
 
 An arriving batch is first reduced to distinct digests (map-side combining, so
@@ -35,7 +36,7 @@ from .vec import U64, mix
 #: Digests in a bucket on average; a bucket is what one lookup holds in memory.
 BUCKET_KEYS = 4096
 MAX_LEVELS = 64
-INDEX_SCHEMA = "bucket long, n_keys long, level_sizes array<int>, levels binary, digests binary, winners binary, counts binary"
+INDEX_SCHEMA = "buckets long, bucket long, n_keys long, level_sizes array<int>, levels binary, digests binary, winners binary, counts binary"
 _FOUND = "digest binary, winner long, n long, member boolean"
 
 
@@ -57,7 +58,7 @@ def build_mph(digests: np.ndarray, gamma: float = 1.5) -> tuple[list[int], np.nd
     sizes, bits, place, base = [], [], np.zeros(len(digests), np.int64), 0
     while len(left):
         if len(sizes) == MAX_LEVELS:
-            raise ValueError("digests are not distinct")
+            break
         size = max(8, int(gamma * len(left)))
         at = _seeds(words[left], len(sizes), size)
         alone = np.bincount(at, minlength=size) == 1
@@ -68,7 +69,9 @@ def build_mph(digests: np.ndarray, gamma: float = 1.5) -> tuple[list[int], np.nd
         base += size
         left = left[~settled]
     flat = np.concatenate(bits) if bits else np.zeros(0, bool)
-    return sizes, flat, (np.cumsum(flat) - 1)[place] if len(place) else place
+    slot = (np.cumsum(flat) - 1)[place] if len(flat) else place
+    slot[left] = int(flat.sum()) + np.arange(len(left))
+    return sizes, flat, slot
 
 
 def lookup_mph(sizes: list[int], flat: np.ndarray, digests: np.ndarray) -> np.ndarray:
@@ -89,13 +92,13 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint8).reshape(-1, 32)
 
 
-def _index_bucket(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _index_bucket(key: tuple, rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     digests = _matrix(rows["digest"])
     sizes, flat, slot = build_mph(digests)
     order = np.argsort(slot)
     winners = rows["winner"].fillna(-(1 << 63)).to_numpy(np.int64)
     return pd.DataFrame([{
-        "bucket": key[0], "n_keys": len(rows), "level_sizes": sizes, "levels": np.packbits(flat).tobytes(),
+        "buckets": buckets, "bucket": key[0], "n_keys": len(rows), "level_sizes": sizes, "levels": np.packbits(flat).tobytes(),
         "digests": digests[order].tobytes(), "winners": winners[order].tobytes(), "counts": rows["n"].to_numpy(np.int64)[order].tobytes(),
     }])
 
@@ -111,6 +114,9 @@ def _lookup_bucket(key: tuple, rows: pd.DataFrame, index: pd.DataFrame) -> pd.Da
         flat = np.unpackbits(np.frombuffer(own["levels"], np.uint8), count=sum(sizes)).astype(bool)
         held, digests = np.frombuffer(own["digests"], np.uint8).reshape(-1, 32), _matrix(rows["digest"])
         slot = lookup_mph(sizes, flat, digests)
+        if own["n_keys"] > flat.sum():
+            last = {held[k].tobytes(): k for k in range(int(flat.sum()), len(held))}
+            slot = np.array([last.get(d.tobytes(), k) for d, k in zip(digests, slot.tolist())], np.int64)
         found = slot >= 0
         found[found] = (held[slot[found]] == digests[found]).all(axis=1)
         old = np.frombuffer(own["winners"], np.int64)[slot[found]]
@@ -141,11 +147,29 @@ class DigestHistory:
     def build(self, groups: DataFrame) -> DigestHistory:
         """Index distinct digests (digest, winner, n)."""
         self.buckets = max(1, -(-groups.count() // self.bucket_keys))
-        index = groups.withColumn("bucket", self._bucket(self.buckets)).groupBy("bucket").applyInPandas(_index_bucket, INDEX_SCHEMA)
+        buckets = self.buckets
+        index = groups.withColumn("bucket", self._bucket(buckets)).groupBy("bucket").applyInPandas(lambda key, rows: _index_bucket(key, rows, buckets), INDEX_SCHEMA)
         self._step += 1
         self.index = self.work.keep(index, f"index-{self._step}")
         return self
 
+    def save(self, path: str) -> None:
+        """Write the index to a folder of its own, from which a later run opens it."""
+        self.index.write.mode("errorifexists").parquet(path)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, work: Workspace | None = None, bucket_keys: int = BUCKET_KEYS) -> DigestHistory:
+        history = cls(spark, work, bucket_keys)
+        history.index = spark.read.schema(INDEX_SCHEMA).parquet(path)
+        history.buckets = history.index.agg(F.max("buckets")).first()[0] or 1
+        return history
+
+    def merged(self, arrived: DataFrame) -> DataFrame:
+        """Distinct digests of history and of what ``lookup`` returned: what no arrival has touched stays as it was."""
+        if self.index is None:
+            return arrived.drop("member")
+        return self.entries().join(arrived.where("member").select("digest"), "digest", "left_anti").unionByName(arrived.drop("member"))
+
     def lookup(self, groups: DataFrame) -> DataFrame:
         """Each arriving distinct digest with its winner and count over history and arrivals, and whether history had it."""
         arriving = groups.withColumn("bucket", self._bucket(self.buckets))
@@ -171,22 +195,24 @@ def digest_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha2(no_null(text_col).cast("binary"), 256)).alias("digest"))
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", work: Workspace | None = None, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+def exact_dedup(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", work: Workspace | None = None, bucket_keys: int = BUCKET_KEYS, history: DigestHistory | None = None,
+) -> DataFrame:
     """(id, digest, winner, n) for every row: its digest, the id that stays and how many rows share the text.
 
-    The rows with ids up to the middle of the id range are the history, those
-    above it arrive as the next batch.
+    Given a ``history``, all rows arrive as its next batch.  Without one, the
+    rows with ids up to the middle of the id range are the history, and those
+    above it arrive.
     """
     spark = df.sparkSession
     work = work or Workspace(spark, "exact-dedup")
     rows = work.keep(digest_rows(df, id_col, text_col), "digests")
-    lo, hi = rows.agg(F.min("id"), F.max("id")).first()
-    middle = F.lit((lo + hi) // 2 if lo is not None else 0)
-    groups = DigestHistory.group
-    history = DigestHistory(spark, work, bucket_keys).build(groups(rows.where(F.col("id").isNull() | (F.col("id") <= middle))))
-    arrived = work.keep(history.lookup(groups(rows.where(F.col("id") > middle))), "looked-up")
-    # what no arrival has touched stays as it was
-    kept = history.entries().join(arrived.where("member").select("digest"), "digest", "left_anti")
-    final = kept.unionByName(arrived.drop("member"))
+    groups, arriving = DigestHistory.group, rows
+    if history is None:
+        lo, hi = rows.agg(F.min("id"), F.max("id")).first()
+        middle = F.lit((lo + hi) // 2 if lo is not None else 0)
+        history = DigestHistory(spark, work, bucket_keys).build(groups(rows.where(F.col("id").isNull() | (F.col("id") <= middle))))
+        arriving = rows.where(F.col("id") > middle)
+    arrived = work.keep(history.lookup(groups(arriving)), "looked-up")
     # a hot digest is a skewed join key here, which AQE splits; nothing above needs a digest's rows together
-    return rows.join(final, "digest").select("id", "digest", "winner", "n")
+    return rows.join(history.merged(arrived), "digest").select("id", "digest", "winner", "n")
