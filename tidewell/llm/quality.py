@@ -128,19 +128,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
 def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> LatentModel:
     """Learn from the labels whose row satisfies ``learn``.
 
-    Vectors, not texts, come to the driver: BINS half-precision counts a row.
+    Vectors, not texts, come to the driver: the counts that are not zero.
     """
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, at in slices(batch.column(1), BLOCK_BYTES, BLOCK_ROWS):
-                packed = [c.tobytes() for c in np.minimum(term_counts(data, at), 60_000).astype(np.float16)]
+                counts = term_counts(data, at)
+                packed = [np.flatnonzero(c).astype("<u2").tobytes() + c[c > 0].astype("<f4").tobytes() for c in counts]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array(packed, pa.binary())], ["id", "label", "counts"])
 
     sample = labelled_sample(docs, labels, label_col, learn, sample_rows, id_col, text_col).select("id", "text", "label")
     rows = sample.mapInArrow(vectors, "id long, label int, counts binary").toArrow().sort_by("id")
     rows = rows.slice(0, sample_rows)  # ids may repeat in documents; the bound holds
-    counts = np.array([np.frombuffer(c.as_py(), np.float16) for c in rows.column("counts")], np.float32).reshape(-1, BINS)
+    counts = np.zeros((len(rows), BINS), np.float32)
+    for own, packed in zip(counts, rows.column("counts")):
+        raw = packed.as_py()
+        size = len(raw) // 6
+        own[np.frombuffer(raw, "<u2", size)] = np.frombuffer(raw, "<f4", size, 2 * size)
     known = np.array(rows.column("label").to_pylist(), np.float32)
     if not len(known):
         return LatentModel(np.zeros(BINS, np.float32), np.zeros((BINS, 1), np.float32), np.zeros((0, 1), np.float32), known, 0.5)
