@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.bpe import bpe_encode, load_ranks
-from tidewell.llm.common import Workspace, table
+from tidewell.llm.common import Workspace, swept, table
 from tidewell.llm.decontaminate import drop_leaks
 from tidewell.llm.line_dedup import line_dedup
 from tidewell.llm.ngram_join import ngram_join
@@ -62,9 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of ``sf_dir``."""
+    """All stages over the ``documents`` of ``sf_dir``.  A stage's intermediates go when it has been written, its result when the next has."""
     work = Workspace(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = work.keep(stage(spark, docs, sf_dir), name)
+        with swept(spark):
+            docs = work.keep(stage(spark, docs, sf_dir), name)
+        if last:
+            work.drop(last)
+        last = name
     return docs
