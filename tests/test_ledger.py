@@ -7,7 +7,7 @@ from tidewell.errors import RuleViolation, SchemaMismatch, StateConflict, Tidewe
 from tidewell.functions import scalars as S
 from tidewell.plans import ledger as L
 from tidewell.plans import rules as R
-from tidewell.plans.publish import export_shards, json_lines, ordered_digest, publish
+from tidewell.plans.publish import export_shards, json_lines, publish, streamed_digest
 from tidewell.schemas import FORMATS, columns, metadata_rows, schema, validate_schema
 from tidewell.sources import readers
 
@@ -240,7 +240,7 @@ def test_publish_discards_on_violation(spark, tmp_path):
     assert list(tmp_path.iterdir()) == []
     import hashlib
 
-    assert ordered_digest(rows.limit(1), ["destination"], "destination") == hashlib.sha256(b"d\n").hexdigest()
+    assert streamed_digest(rows.limit(1), ["destination"], "destination") == hashlib.sha256(b"d\n").hexdigest()
 
 
 def test_scene_filter_and_listing(spark, tmp_path):

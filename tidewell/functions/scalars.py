@@ -166,3 +166,18 @@ def trigger_reason(force: Col, stored: Col, threshold: Col, complete: Col, free:
 def cam_path(cams: Col, channel: Col) -> Column:
     """Path of a channel in the anchor row's map; a missing channel is null, which a rule reports."""
     return F.try_element_at(_c(cams), _c(channel))["data_path"]
+
+
+def offset_us(ts: Col, anchor: Col) -> Column:
+    """Time of an image from its anchor, in microseconds."""
+    return _c(ts) - _c(anchor)
+
+
+def offset_seconds(ts: Col, anchor: Col) -> Column:
+    return offset_us(ts, anchor) / F.lit(1e6)
+
+
+def uint64(x: Col) -> Column:
+    """Little-endian unsigned 64-bit field (binary of 8 bytes) as a decimal, which holds what a long cannot."""
+    digits = F.hex(_c(x))
+    return F.conv(F.concat(*(F.substring(digits, 2 * k + 1, 2) for k in reversed(range(8)))), 16, 10).cast("decimal(20,0)")

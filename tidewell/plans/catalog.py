@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import histories, joins, ranking, streams
+from . import publish
 
 GAP_US, SHORT_US, OMITTED_US = 100_000_000_000, 1_000_000_000, 20_000_000_000
 HOUR_US = 3_600_000_000
@@ -123,27 +124,6 @@ def short_interval_violations(spark, sf_dir):
     return streams.short_intervals(images(spark, sf_dir), SHORT_US, 0).select("stream_id", "image_token", "delta_us")
 
 
-@query("retained_match", f"""WITH {IMG} SELECT p.stream_id, p.image_token, count(*) AS candidates FROM img p JOIN img i ON p.stream_id = i.stream_id
-    AND i.ts_us BETWEEN p.ts_us - {HOUR_US} AND p.ts_us + {HOUR_US} WHERE p.event_type = 'purchase' GROUP BY 1, 2 HAVING count(*) = 1""")
-def retained_match(spark, sf_dir):
-    img = images(spark, sf_dir)
-    rows = img.where("event_type = 'purchase'").select("stream_id", "image_token", (F.col("ts_us") - HOUR_US).alias("lo"), (F.col("ts_us") + HOUR_US).alias("hi"))
-    near = joins.interval_join(rows, img.select("stream_id", F.col("ts_us").alias("at")), ["stream_id"], "lo", "hi", "at", 4 * HOUR_US)
-    return near.groupBy("stream_id", "image_token").agg(F.count(F.lit(1)).alias("candidates")).where("candidates = 1")
-
-
-@query("lidar_fallback", """WITH c AS (SELECT c_custkey, c_custkey AS k1, c_nationkey::BIGINT AS k2, c_custkey % 10 AS k3, c_mktsegment FROM customer),
-    o AS (SELECT o_orderkey, o_custkey AS k1, o_orderkey % 25 AS k2, o_orderkey % 10 AS k3 FROM orders),
-    d AS (SELECT o_orderkey, count(*) AS candidates, min(c_custkey) AS hit, 'first' AS method FROM o JOIN (SELECT * FROM c WHERE c_mktsegment = 'BUILDING') c USING (k1) GROUP BY 1),
-    r AS (SELECT o_orderkey, count(*) AS candidates, min(c_custkey) AS hit, 'second' AS method FROM o JOIN (SELECT * FROM c WHERE c_mktsegment = 'BUILDING') c USING (k2, k3) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM d) GROUP BY 1)
-    SELECT coalesce(m.method, 'none') AS method, coalesce(m.candidates, 0) AS candidates, count(*) AS n, sum(m.hit)::BIGINT AS hits FROM orders LEFT JOIN (SELECT * FROM d UNION ALL SELECT * FROM r) m USING (o_orderkey) GROUP BY 1, 2""")
-def lidar_fallback(spark, sf_dir):
-    right = read(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", F.col("c_custkey").alias("k1"), F.col("c_nationkey").cast("bigint").alias("k2"), (F.col("c_custkey") % 10).alias("k3"))
-    left = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k1"), (F.col("o_orderkey") % 25).alias("k2"), (F.col("o_orderkey") % 10).alias("k3"))
-    found = joins.fallback_match(left, "o_orderkey", right, "c_custkey", ["k1"], ["k2", "k3"])
-    return found.groupBy("method", "candidates").agg(F.count(F.lit(1)).alias("n"), F.sum("match").alias("hits"))
-
-
 @query("cadence_exceptions", f"""WITH {IMG}, kept AS (SELECT stream_id, image_token, ts_us - lag(ts_us) OVER (PARTITION BY stream_id ORDER BY stream_index) AS retained_delta_us FROM img WHERE stream_index % 5 = 0)
     SELECT stream_id, image_token, retained_delta_us FROM kept WHERE abs(retained_delta_us - 200000000000) > {GAP_US}""")
 def cadence_exceptions(spark, sf_dir):
@@ -183,11 +163,11 @@ def pack_tiling_check(spark, sf_dir):
     return ranking.tiling(laid, ["source"], "pack_offset", "n_chars")
 
 
-@query("coverage_full_outer", """SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'extra' ELSE 'both' END AS class, count(*) AS n
-    FROM (SELECT doc_id FROM documents WHERE doc_id % 10 <> 3) d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""")
+@query("coverage_full_outer", """SELECT CASE WHEN p.k IS NULL THEN 'extra' WHEN d.doc_id IS NULL THEN 'missing' ELSE 'both' END AS class, count(*) AS n
+    FROM documents d FULL OUTER JOIN (SELECT 5 * page_id AS k FROM pages) p ON d.doc_id = p.k GROUP BY 1""")
 def coverage_full_outer(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").where("doc_id % 10 <> 3").select("doc_id")
-    return joins.coverage(docs, read(spark, sf_dir, "labels").select("doc_id"), ["doc_id"]).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    pages = read(spark, sf_dir, "pages").select((5 * F.col("page_id")).alias("doc_id"))
+    return joins.coverage(pages, read(spark, sf_dir, "documents").select("doc_id"), ["doc_id"]).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("verification_override", "SELECT d.doc_id, CASE WHEN d.n_chars % 2 = 0 THEN coalesce(l.quality::BIGINT, d.n_chars) ELSE d.n_chars END AS value FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -290,17 +270,11 @@ def frame_histogram(spark, sf_dir):
     return counts.groupBy("channel").agg(F.array_join(F.transform(entries, lambda x: F.concat_ws(":", x["frame_count"].cast("string"), x["n"].cast("string"))), ",").alias("histogram"))
 
 
-@query("availability", """SELECT d.source, count(*) AS total, count(l.doc_id) AS present, count(*) - count(l.doc_id) AS missing FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1""")
-def availability(spark, sf_dir):
-    there = read(spark, sf_dir, "labels").select("doc_id").withColumn("there", F.lit(True))
-    rows = read(spark, sf_dir, "documents").select("doc_id", "source").join(there, "doc_id", "left")
-    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("total"), F.count("there").alias("present"), F.count_if(F.col("there").isNull()).alias("missing"))
-
-
-@query("ordered_digest", "SELECT source, sha256(string_agg(doc_id || ' ' || lang || chr(10), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY 1")
+@query("ordered_digest", """WITH b AS (SELECT source, doc_id // 100 AS block, count(*) AS n, sha256(string_agg(doc_id || ' ' || lang || chr(10), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY 1, 2)
+    SELECT source AS "group", sum(n)::BIGINT AS lines, sha256(string_agg(digest || chr(10), '' ORDER BY block)) AS digest FROM b GROUP BY 1""")
 def ordered_digest(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents").select("source", "doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(" "), "lang", F.lit("\n")).alias("line"))
-    return rows.groupBy("source").agg(F.sha2(F.expr("listagg(line, '') WITHIN GROUP (ORDER BY doc_id)"), 256).alias("digest"))
+    rows = read(spark, sf_dir, "documents").select("source", "doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(" "), "lang").alias("line"))
+    return publish.ordered_digest(rows, "doc_id", "line", "source", block=100)
 
 
 @query("max_anchors_prefix", f"WITH {ANC} SELECT stream_id, image_token FROM anc ORDER BY stream_id, stream_index LIMIT 100")
@@ -308,12 +282,13 @@ def max_anchors_prefix(spark, sf_dir):
     return ranking.prefix(anchors(spark, sf_dir), ["stream_id", "stream_index"], 100).select("stream_id", "image_token")
 
 
-PROBES = list(range(1, 2000, 100))
-
-
-@query("probe_sample", f"SELECT p.probe, min(c.c_custkey) AS c_custkey FROM (SELECT unnest({PROBES})::BIGINT AS probe) p LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0) c ON c.c_custkey >= p.probe GROUP BY 1")
+@query("probe_sample", """WITH r AS (SELECT min(o_custkey) AS lo, max(o_custkey) AS hi FROM orders), p AS (SELECT lo + (hi + 50 - lo) * i // 19 AS probe FROM r, unnest(range(20)) AS u(i))
+    SELECT probe, min(o_custkey) AS o_custkey FROM p LEFT JOIN orders ON o_custkey >= probe GROUP BY 1""")
 def probe_sample(spark, sf_dir):
-    return ranking.first_at_or_after(read(spark, sf_dir, "customer").where("c_custkey % 7 = 0"), "c_custkey", PROBES).withColumn("probe", F.col("probe").cast("bigint"))
+    """Twenty probes spread over the range of the keys and a little beyond."""
+    orders = read(spark, sf_dir, "orders")
+    lo, hi = orders.agg(F.min("o_custkey"), F.max("o_custkey")).first()
+    return ranking.first_at_or_after(orders, "o_custkey", [lo + (hi + 50 - lo) * k // 19 for k in range(20)]).withColumn("probe", F.col("probe").cast("bigint"))
 
 
 @query("top_offenders", """SELECT source, string_agg(doc_id, ',' ORDER BY doc_id) AS shown FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) WHERE r <= 8 GROUP BY 1""")
@@ -335,9 +310,10 @@ def content_sha(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", S.sha256(F.coalesce("text", F.lit(""))).alias("sha"))
 
 
-@query("content_crc")
+@query("content_crc", """SELECT c_custkey, xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(length(c_name)), lambda i: [ascii(substr(c_name, i + 1, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) AS crc FROM customer""")
 def content_crc(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", S.crc32("text").alias("crc"))
+    return read(spark, sf_dir, "customer").select("c_custkey", S.crc32("c_name").alias("crc"))
 
 
 @query("token_norm", "SELECT c_custkey, lower(trim(' ' || c_name || '  ')) AS token FROM customer")
@@ -370,12 +346,6 @@ def key_parse(spark, sf_dir):
     return keys.select("p_partkey", S.archive_split("key").alias("split"), S.archive_group("key").alias("group"))
 
 
-@query("magic_bytes", "SELECT page_id, starts_with(html, '<!DOCTYPE') AS starts, ends_with(html, '</html>') AS ends FROM pages")
-def magic_bytes(spark, sf_dir):
-    html = F.col("html").cast("binary")
-    return read(spark, sf_dir, "pages").select("page_id", F.startswith(html, F.lit(b"<!DOCTYPE")).alias("starts"), F.endswith(html, F.lit(b"</html>")).alias("ends"))
-
-
 @query("json_extract", "SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k FROM events")
 def json_extract(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
@@ -435,7 +405,9 @@ def snapshot_choice(spark, sf_dir):
     return spark.createDataFrame([(newest_complete(states, 20),)], "snapshot string")
 
 
-@query("tar_roundtrip")
+@query("tar_roundtrip", """WITH d AS (SELECT doc_id, doc_id % 64 AS archive, strlen(coalesce(text, ''))::BIGINT AS size FROM documents),
+    o AS (SELECT *, coalesce(sum(512 + (size + 511) // 512 * 512) OVER (PARTITION BY archive ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS header_offset FROM d)
+    SELECT doc_id, size, header_offset, header_offset + 512 AS data_offset, true AS same FROM o""")
 def tar_roundtrip(spark, sf_dir):
     """Documents written to TAR archives in memory and walked again, an archive a task; every member must come back as it went in."""
 
@@ -458,17 +430,18 @@ def tar_roundtrip(spark, sf_dir):
         rows = [(int(m.name[:-4]), m.size, m.header_offset, m.data_offset, archive.read(m) == held[m.name]) for m in archive.members()]
         return pd.DataFrame(rows, columns=["doc_id", "size", "header_offset", "data_offset", "same"])
 
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("archive"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.pmod("doc_id", F.lit(64)).alias("archive"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
     return docs.groupBy("archive").applyInPandas(walk, "doc_id bigint, size bigint, header_offset bigint, data_offset bigint, same boolean")
 
 
-@query("zip_directory")
+@query("zip_directory", "SELECT page_id, 8::BIGINT AS method, strlen(html)::BIGINT AS size, true AS smaller, true AS crc_right, true AS whole FROM pages")
 def zip_directory(spark, sf_dir):
     """Pages written to ZIP archives in memory; the central directory as rows."""
 
     def walk(key, pages):
         import io
         import zipfile
+        import zlib
 
         import pandas as pd
 
@@ -479,29 +452,28 @@ def zip_directory(spark, sf_dir):
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             for r in pages.sort_values("page_id").itertuples():
                 z.writestr(f"{r.page_id}.html", r.content)
-        archive = ZipArchive(MemoryClient({"a": out.getvalue()}), "a")
-        rows = [(int(m.name[:-5]), m.method, m.size, m.compressed_size, m.crc32, len(archive.read(m)) == m.size) for m in archive.members()]
-        return pd.DataFrame(rows, columns=["page_id", "method", "size", "compressed_size", "crc32", "whole"])
+        archive, held = ZipArchive(MemoryClient({"a": out.getvalue()}), "a"), {f"{r.page_id}.html": r.content for r in pages.itertuples()}
+        rows = [(int(m.name[:-5]), m.method, m.size, m.compressed_size < m.size, m.crc32 == zlib.crc32(held[m.name]), archive.read(m) == held[m.name]) for m in archive.members()]
+        return pd.DataFrame(rows, columns=["page_id", "method", "size", "smaller", "crc_right", "whole"])
 
     pages = read(spark, sf_dir, "pages").select("page_id", F.pmod(F.xxhash64("page_id"), F.lit(16)).alias("archive"), F.col("html").cast("binary").alias("content"))
-    return pages.groupBy("archive").applyInPandas(walk, "page_id bigint, method bigint, size bigint, compressed_size bigint, crc32 bigint, whole boolean")
+    return pages.groupBy("archive").applyInPandas(walk, "page_id bigint, method bigint, size bigint, smaller boolean, crc_right boolean, whole boolean")
 
 
 @query("incremental_equals_batch", "SELECT user_id, count(*) AS n, max(value) AS largest FROM events GROUP BY 1")
 def incremental_equals_batch(spark, sf_dir):
     """Events taken in through a committed ledger by a stream that stops when all is read, then aggregated."""
-    import tempfile
     import uuid
 
     from ..streaming.incremental import Ledger, run_available
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or (tempfile.mkdtemp(prefix="tidewell-") if spark.conf.get("spark.master", "").startswith("local[") else None)
-    if shared is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     # a streaming source lists files: tables that are one file are named by a pattern, and folders are taken as they are
     table = read(spark, sf_dir, "events")
     source = spark.readStream.schema(table.schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 64)
     stream = source.parquet(f"{sf_dir}/event[s].parquet")
-    ledger = Ledger(spark, f"{shared.rstrip('/')}/incremental-{uuid.uuid4().hex}", {"source": f"{sf_dir}/events.parquet"})
+    ledger = Ledger(spark, f"{publish.shared_folder(spark)}/incremental-{uuid.uuid4().hex}", {"source": f"{sf_dir}/events.parquet"})
     run_available(stream, ledger)
     return ledger.rows().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("largest"))
+
+
+from . import catalog_world  # noqa: E402, F401  (adds its queries)

@@ -17,6 +17,7 @@ from ..functions import scalars as S
 from ..operators import histories, ranking, streams
 from ..schemas import CHANNELS, FORMATS, FUTURE_ROWS, HISTORY_ROWS, NOMINAL_INTERVAL_US, RETAINED_INTERVAL_US, TOLERANCE_US, columns, metadata_rows
 from . import rules as R
+from .publish import Scratch, shared_folder
 
 
 @dataclass
@@ -55,14 +56,16 @@ class Plan:
 def plan_histories(
     spark: SparkSession, rows: DataFrame, native: NativeLogs, tokens: DataFrame, scene_filter_sha256: str, channels: Sequence[str] = CHANNELS,
     cadence_tolerance_us: int = TOLERANCE_US, retained_tolerance_us: int = TOLERANCE_US, two_hz_tolerance_us: int = TOLERANCE_US,
-    max_anchors: int | None = None, history: int = HISTORY_ROWS, future: int = FUTURE_ROWS, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    max_anchors: int | None = None, history: int = HISTORY_ROWS, future: int = FUTURE_ROWS, keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Plan:
     """The plan of all requested anchors, with the rules that must hold before it is published.
 
     Streams, anchors, matches and ranges are each used by several tables and
-    rules; ``keep`` may write them once and give back what was written (see
-    ``publish.Scratch``), which also cuts their lineage.
+    rules: ``keep`` writes them once and gives back what was written (by
+    default a ``publish.Scratch`` in the shared folder), which also cuts their
+    lineage.
     """
+    keep = keep or Scratch(spark, shared_folder(spark)).keep
     partial = max_anchors is not None
     wanted = tokens.select(S.token_norm("token").alias("token")).distinct()
     picked = rows.withColumn("token", F.lower("token")).join(wanted, "token", "left_semi")

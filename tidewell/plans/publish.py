@@ -1,8 +1,9 @@
 """All-or-nothing publication of tables.
 
 Tables are written below a staging folder, read back, and checked by the rules
-on what was read; then the folder is renamed and a manifest put in.  A folder
-without a manifest does not count, so a crash leaves nothing half published.
+on what was read; then a manifest is put in and the folder renamed.  A product
+appears at its path whole or not at all; what a crash leaves is a staging
+folder, which the next publication to the path removes.
 Paths go through Hadoop's file systems, so the store may be any that Spark can
 write.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -44,12 +46,34 @@ class Store:
             raise StateConflict(f"cannot rename {a} to {b}")
 
     def write_text(self, path: str, text: str, overwrite: bool = False) -> None:
+        """Flushed to the store before it is closed; without ``overwrite`` the file must be new (the store decides, so of two writers one fails)."""
         out = self.fs.create(self._path(path), overwrite)
         try:
             out.write(bytearray(text.encode("utf-8")))
+            out.hsync()
         finally:
             out.close()
 
+    def replace_text(self, path: str, text: str) -> None:
+        """Write beside and rename, so that a reader sees the old document or the new one."""
+        partial = f"{path}.{uuid.uuid4().hex}.partial"
+        self.write_text(partial, text)
+        try:
+            options = self.jvm.java.lang.reflect.Array.newInstance(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+            context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf())
+            context.rename(self._path(partial), self._path(path), options)
+        finally:
+            if self.exists(partial):
+                self.delete(partial)
+
+    def list(self, path: str) -> list[str]:
+        """Names of what lies in a folder; none if there is no such folder."""
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self._path(path))) if self.exists(path) else []
+
+    def free_bytes(self, path: str) -> int:
+        return self.fs.getStatus(self._path(path)).getRemaining()
+
     def read_text(self, path: str) -> str:
         source = self.fs.open(self._path(path))
         try:
@@ -65,6 +89,18 @@ def row_digest(df: DataFrame) -> tuple[int, str]:
     return total[0], hashlib.sha256(f"{total[0]}:{total[1]}:{total[2]}".encode()).hexdigest()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediates, ``spark.checkpoint.dir``; only a local session may fall back on a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+        raise TidewellError("set spark.checkpoint.dir to a folder that all executors share")
+    own = spark.conf.get("spark.tidewell.local.scratch", None) or tempfile.mkdtemp(prefix="tidewell-")
+    spark.conf.set("spark.tidewell.local.scratch", own)
+    return own
+
+
 class Scratch:
     """Intermediate tables of one run below a folder that all executors share; give ``keep`` to a planner."""
 
@@ -81,9 +117,14 @@ class Scratch:
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, product: str, rules: Callable[[dict[str, DataFrame]], object] | None = None, facts: dict | None = None) -> dict:
     """Write, check, rename; returns the manifest.  ``rules`` makes Rules of the tables as read back.  An existing product is never replaced."""
+    path = path.rstrip("/")
     store = Store(spark, path)
     if store.exists(path):
         raise StateConflict(f"{path} is there already")
+    folder, _, name = path.rpartition("/")
+    for left in store.list(folder or "/"):
+        if left.startswith(f"{name}._staging-"):
+            store.delete(f"{folder}/{left}")
     staging = f"{path}._staging-{uuid.uuid4().hex}"
     try:
         for name, df in tables.items():
@@ -95,8 +136,8 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, produc
         for name, df in staged.items():
             rows, digest = row_digest(df)
             manifest["tables"][name] = {"rows": rows, "digest": digest}
+        store.write_text(f"{staging}/{MANIFEST}", json.dumps(manifest, sort_keys=True, indent=2))
         store.rename(staging, path)
-        store.write_text(f"{path}/{MANIFEST}", json.dumps(manifest, sort_keys=True, indent=2))
         return manifest
     finally:
         if store.exists(staging):
@@ -129,8 +170,28 @@ def export_shards(df: DataFrame, path: str, key: str) -> None:
     lines.repartition(key).sortWithinPartitions(key, "path").drop("path").write.partitionBy(key).option("compression", "gzip").mode("errorifexists").text(path)
 
 
-def ordered_digest(df: DataFrame, order: list[str], line: str) -> str:
-    """SHA-256 of all lines in order, each followed by a line feed.  Lines stream through the driver one partition at a time."""
+#: Lines that are digested together.
+DIGEST_BLOCK = 1 << 16
+
+
+def ordered_digest(df: DataFrame, order: str, line: str, group: str | None = None, block: int = DIGEST_BLOCK) -> DataFrame:
+    """(group, lines, digest): SHA-256 of lines in the order of a whole-number key that is unique in its group.
+
+    Lines go in blocks of ``block`` key values.  A block's digest is that of its
+    lines, each followed by a line feed; the group's is that of its blocks'
+    digests (64 hex digits and a line feed each) in order, empty blocks left
+    out.  So a task holds one block, and the order still counts.
+    """
+    keys = [F.col(group).alias("group")] if group else [F.lit("").alias("group")]
+    rows = df.select(*keys, F.floor(F.col(order) / block).cast("bigint").alias("block"), F.struct(F.col(order), F.concat(F.col(line), F.lit("\n")).alias("line")).alias("x"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "")
+    blocks = rows.groupBy("group", "block").agg(F.count(F.lit(1)).alias("n"), F.sha2(text.cast("binary"), 256).alias("digest"))
+    chain = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "digest"))), lambda x: F.concat(x["digest"], F.lit("\n"))), "")
+    return blocks.groupBy("group").agg(F.sum("n").alias("lines"), F.sha2(chain.cast("binary"), 256).alias("digest"))
+
+
+def streamed_digest(df: DataFrame, order: list[str], line: str) -> str:
+    """SHA-256 of all lines in order, each followed by a line feed, as of one file.  Lines stream through the driver one partition at a time: for exports of a bounded size."""
     digest = hashlib.sha256()
     for r in df.orderBy(*order).select(line).toLocalIterator():
         digest.update(r[0].encode("utf-8") + b"\n")

@@ -84,11 +84,13 @@ class HistoryIndex:
                 raise IndexError_(str(error)) from error
         return out
 
-    def availability(self, tokens: DataFrame, files: DataFrame) -> DataFrame:
-        """(anchor_token, total, present, missing): images with and without a file."""
-        paths = self.histories(tokens).select("anchor_token", F.explode("frames.blob_path").alias("path")).distinct()
+    def availability(self, tokens: DataFrame, files: DataFrame, check: bool = True) -> DataFrame:
+        """(anchor_token, total, present, missing, missing_paths): distinct images with and without a file, and the paths of those without, sorted."""
+        paths = self.histories(tokens, check=check).select("anchor_token", F.explode("frames.blob_path").alias("path")).distinct()
         there = paths.join(files.select("path").distinct().withColumn("there", F.lit(True)), "path", "left")
-        return there.groupBy("anchor_token").agg(F.count(F.lit(1)).alias("total"), F.count("there").alias("present"), F.count_if(F.col("there").isNull()).alias("missing"))
+        return there.groupBy("anchor_token").agg(
+            F.count(F.lit(1)).alias("total"), F.count("there").alias("present"), F.count_if(F.col("there").isNull()).alias("missing"), F.array_sort(F.collect_list(F.when(F.col("there").isNull(), F.col("path")))).alias("missing_paths")
+        )
 
 
 def with_gaps(histories: DataFrame, tolerance: int = TOLERANCE_US) -> DataFrame:
