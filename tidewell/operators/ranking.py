@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 from ..errors import TidewellError
 
 
+#: Blocks that are summed in one task.
+FAN_OUT = 4096
+
+
 def global_position(df: DataFrame, key: str, width: int) -> DataFrame:
     """Adds ``position`` (0-based) in the order of a unique whole-number key, without one task for all rows.
 
-    Keys are counted by blocks of ``width``; a block's offset is the sum of the
-    counts before it (one small row a block), and ranks are taken in blocks.
+    Keys are counted by blocks of ``width``, blocks by groups of FAN_OUT; a
+    block's offset is the sum of the groups before its own (one row for
+    ``width * FAN_OUT`` keys) and of the blocks before it in its group, and
+    ranks are taken in blocks.
     """
     block = F.floor(F.col(key) / width)
-    counts = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    counts = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_group", F.floor(F.col("_block") / FAN_OUT))
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_n")).select("_group", earlier(W.orderBy("_group")).alias("_before"))
+    offsets = counts.withColumn("_inside", earlier(W.partitionBy("_group").orderBy("_block"))).join(groups, "_group").select("_block", (F.col("_before") + F.col("_inside")).alias("_offset"))
     inside = W.partitionBy("_block").orderBy(key)
     placed = df.withColumn("_block", block).withColumn("_rank", F.row_number().over(inside) - 1).join(offsets, "_block")
     return placed.withColumn("position", (F.col("_offset") + F.col("_rank")).cast("bigint")).drop("_block", "_offset", "_rank")

@@ -29,7 +29,7 @@ class Store:
     """The few file operations that publication needs."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.jvm, self.path = spark.sparkContext._jvm, path
+        self.jvm, self.gateway, self.path = spark.sparkContext._jvm, spark.sparkContext._gateway, path
         self.fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _path(self, path: str):
@@ -59,8 +59,9 @@ class Store:
         partial = f"{path}.{uuid.uuid4().hex}.partial"
         self.write_text(partial, text)
         try:
-            options = self.jvm.java.lang.reflect.Array.newInstance(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
-            options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+            kind = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+            options = self.gateway.new_array(kind, 1)
+            options[0] = kind.valueOf("OVERWRITE")
             context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf())
             context.rename(self._path(partial), self._path(path), options)
         finally:

@@ -9,7 +9,9 @@ source the stored state is refused.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,23 +21,49 @@ from ..plans.publish import Store
 
 
 class Ledger:
-    """Batches below a folder; only those with a marker count."""
+    """Batches below a folder; only those with a marker count.
+
+    One writer at a time: ``locked`` holds a lock file that only one can
+    create.  A lock that a crash has left is taken over on request.
+    """
 
     def __init__(self, spark: SparkSession, path: str, identity: dict):
         self.spark, self.path, self.store = spark, path.rstrip("/"), Store(spark, path)
         bound, text = f"{self.path}/_identity.json", json.dumps(identity, sort_keys=True)
-        if self.store.exists(bound):
-            if self.store.read_text(bound) != text:
-                raise StateConflict(f"{path} belongs to another source")
-        else:
-            self.store.write_text(bound, text)
-
-    def write(self, batch: DataFrame, number: int) -> None:
+        if not self.store.exists(bound):
+            try:
+                self.store.write_text(bound, text)
+            except Exception:  # another has just written it: it must say the same
+                if not self.store.exists(bound):
+                    raise
+        if self.store.read_text(bound) != text:
+            raise StateConflict(f"{path} belongs to another source")
+
+    @contextmanager
+    def locked(self, take_over: bool = False) -> Iterator[None]:
+        lock, owner = f"{self.path}/_lock", uuid.uuid4().hex
+        try:
+            self.store.write_text(lock, owner, overwrite=take_over)
+        except Exception as error:
+            raise StateConflict(f"{self.path} has another writer, or one that crashed (take_over=True takes its lock)") from error
+        try:
+            yield
+        finally:
+            if self.store.exists(lock) and self.store.read_text(lock) == owner:
+                self.store.delete(lock)
+
+    def write(self, batch: DataFrame, number: int, note: Callable[[DataFrame], dict] | None = None) -> None:
+        """Rows, then the marker, which keeps what ``note`` makes of the written rows."""
         marker = f"{self.path}/commits/{number}"
         if self.store.exists(marker):
             return  # done before a crash
-        batch.write.mode("overwrite").parquet(f"{self.path}/batches/batch={number}")
-        self.store.write_text(marker, "", overwrite=True)
+        folder = f"{self.path}/batches/batch={number}"
+        batch.write.mode("overwrite").parquet(folder)
+        kept = note(self.spark.read.schema(batch.schema).parquet(folder)) if note else {}
+        self.store.replace_text(marker, json.dumps(kept, sort_keys=True))
+
+    def note(self, number: int) -> dict:
+        return json.loads(self.store.read_text(f"{self.path}/commits/{number}") or "{}")
 
     def committed(self) -> list[int]:
         folder = self.store._path(f"{self.path}/commits")
@@ -50,30 +78,37 @@ class Ledger:
         return self.spark.read.option("basePath", f"{self.path}/batches").parquet(*(f"{self.path}/batches/batch={n}" for n in done)).drop("batch")
 
 
-def run_available(stream: DataFrame, ledger: Ledger, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+def run_available(stream: DataFrame, ledger: Ledger, transform: Callable[[DataFrame], DataFrame] = lambda df: df, take_over: bool = False) -> None:
     """Process all that is there now, in batches, and stop; a later call goes on where this one ended."""
-    query = (
-        stream.writeStream.foreachBatch(lambda df, n: ledger.write(transform(df), n)).option("checkpointLocation", f"{ledger.path}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    with ledger.locked(take_over):
+        query = (
+            stream.writeStream.foreachBatch(lambda df, n: ledger.write(transform(df), n)).option("checkpointLocation", f"{ledger.path}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
 
 
-def scan_archives(spark: SparkSession, root: str, paths: list[str], ledger: Ledger, max_headers: int = 1000) -> bool:
-    """One bounded step through every TAR archive, from where the committed rows end; True when all are at their end.
+def scan_archives(spark: SparkSession, root: str, paths: list[str], ledger: Ledger, max_headers: int = 1000, take_over: bool = False) -> bool:
+    """One bounded step through every TAR archive, from where the last committed step ended; True when all are at their end.
 
     Archives are walked in parallel, a task each.  What a crashed step wrote
-    without its marker is written again by the next.
+    without its marker is written again by the next.  A marker keeps where
+    each archive goes on, so a step reads one marker and no rows.
     """
     from ..sources.archives import walk_on
 
-    start = spark.createDataFrame([(p, 0) for p in paths], "archive_key string, next_header_offset bigint")
-    held = ledger.rows()
-    if held is not None:
-        start = start.select("archive_key").join(held.groupBy("archive_key").agg(F.max("next_header_offset").alias("at")), "archive_key", "left").select("archive_key", F.coalesce("at", F.lit(0)).alias("next_header_offset"))
-    number = max(ledger.committed(), default=-1) + 1
-    ledger.write(walk_on(start.repartition(max(1, len(paths)), "archive_key"), root, max_headers), number)
-    steps = spark.read.parquet(f"{ledger.path}/batches/batch={number}").groupBy("archive_key").count()
-    return steps.where(F.col("count") >= max_headers).isEmpty()
+    with ledger.locked(take_over):
+        done = ledger.committed()
+        at = ledger.note(done[-1]) if done else {}
+        start = spark.createDataFrame([(p, at.get(p, 0)) for p in paths], "archive_key string, next_header_offset bigint")
+        counts: dict[str, int] = {}
+
+        def note(rows: DataFrame) -> dict:
+            ends = rows.groupBy("archive_key").agg(F.max("next_header_offset").alias("at"), F.count(F.lit(1)).alias("n")).collect()
+            counts.update({r["archive_key"]: r["n"] for r in ends})
+            return at | {r["archive_key"]: r["at"] for r in ends}
+
+        ledger.write(walk_on(start.repartition(max(1, len(paths)), "archive_key"), root, max_headers), max(done, default=-1) + 1, note)
+        return all(n < max_headers for n in counts.values())
 
 
 def sessions(events: DataFrame, key: str, ts: str, gap: str, watermark: str) -> DataFrame:
@@ -89,3 +124,9 @@ def wait_for(ready: Callable[[], bool], seconds: float, most: int, sleep: Callab
         if k + 1 < most:
             sleep(seconds)
     return False
+
+
+def wait_for_space(store: Store, path: str, new_floor: int, resume_floor: int, resuming: bool, seconds: float, most: int, sleep: Callable[[float], None]) -> bool:
+    """Back-pressure: a new batch waits for ``new_floor`` free bytes, one that goes on for ``resume_floor``."""
+    floor = resume_floor if resuming else new_floor
+    return wait_for(lambda: store.free_bytes(path) >= floor, seconds, most, sleep)
