@@ -171,6 +171,59 @@ def export_shards(df: DataFrame, path: str, key: str) -> None:
     lines.repartition(key).sortWithinPartitions(key, "path").drop("path").write.partitionBy(key).option("compression", "gzip").mode("errorifexists").text(path)
 
 
+def publish_shards(spark: SparkSession, rows: DataFrame, path: str, facts: DataFrame) -> dict:
+    """Write the direct index: a gzip JSON-lines shard an archive, and ``latest.json`` with each shard's hash and rows.
+
+    ``facts`` has (archive_key, source_url, source_size, etag), one row an
+    archive.  The manifest is put in last, so a reader never sees half an index.
+    """
+    path = path.rstrip("/")
+    export_shards(rows.select("archive_key", "path", "offset", "size", "sha256"), path, "archive_key")
+    store = Store(spark, path)
+    counts = {r["archive_key"]: r["count"] for r in rows.groupBy("archive_key").count().collect()}
+    sources = {r["archive_key"]: r.asDict() for r in facts.collect()}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path)
+    key = F.url_decode(F.regexp_extract("path", "archive_key=([^/]*)/", 1))
+    shards = []
+    for r in files.select(key.alias("key"), F.sha2("content", 256).alias("sha256"), F.element_at(F.split("path", "/"), -2).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("file")).orderBy("key").collect():
+        shards.append({"asset": f"{r['folder']}/{r['file']}", "sha256": r["sha256"], "rows": counts[r["key"]], "archive_key": r["key"], **{k: sources[r["key"]][k] for k in ("source_url", "source_size", "etag")}})
+    if [s["archive_key"] for s in shards] != sorted(counts):
+        raise TidewellError(f"{path}: {len(shards)} shards for {len(counts)} archives")
+    manifest = {"format": FORMATS["direct"], "shards": shards, "rows": sum(counts.values())}
+    store.replace_text(f"{path}/latest.json", json.dumps(manifest, sort_keys=True, indent=2))
+    return manifest
+
+
+def read_shards(spark: SparkSession, path: str, numbers: list[int] | None = None) -> DataFrame:
+    """Rows of a direct index (path, offset, size, sha256, archive_key, source_url, source_size, etag); ``numbers`` picks shards, counted from 1.
+
+    A shard whose bytes have another hash, or another number of rows, is refused before any row is given out.
+    """
+    path = path.rstrip("/")
+    manifest = json.loads(Store(spark, path).read_text(f"{path}/latest.json"))
+    if manifest.get("format") != FORMATS["direct"] or manifest["rows"] != sum(s["rows"] for s in manifest["shards"]):
+        raise TidewellError(f"{path}: not a direct index")
+    wrong = [n for n in numbers or [] if not 1 <= n <= len(manifest["shards"])]
+    if wrong or numbers is not None and len(set(numbers)) != len(numbers):
+        raise TidewellError(f"{path}: no shards {wrong or numbers}")
+    shards = [manifest["shards"][n - 1] for n in numbers] if numbers else manifest["shards"]
+    held = spark.read.format("binaryFile").load([f"{path}/{s['asset']}" for s in shards])
+    name = F.concat_ws("/", F.url_decode(F.element_at(F.split("path", "/"), -2)), F.element_at(F.split("path", "/"), -1))
+    hashes = {r["name"]: r["sha256"] for r in held.select(name.alias("name"), F.sha2("content", 256).alias("sha256")).collect()}
+    from urllib.parse import unquote
+
+    bad = [s["asset"] for s in shards if hashes.get(unquote(s["asset"])) != s["sha256"]]
+    if bad:
+        raise TidewellError(f"{path}: shards with other bytes {bad[:3]}")
+    facts = spark.createDataFrame([(s["archive_key"], s["source_url"], s["source_size"], s["etag"], s["rows"]) for s in shards], "archive_key string, source_url string, source_size bigint, etag string, rows bigint")
+    lines = spark.read.option("basePath", path).text([f"{path}/{s['asset'].rpartition('/')[0]}" for s in shards])
+    out = lines.select("archive_key", F.from_json("value", "path string, offset bigint, size bigint, sha256 string").alias("r")).select("archive_key", "r.*")
+    counted = out.groupBy("archive_key").agg(F.count("path").alias("n")).join(facts, "archive_key", "full").where("not (n <=> rows)").limit(3).collect()
+    if counted:
+        raise TidewellError(f"{path}: shards with other rows {[r['archive_key'] for r in counted]}")
+    return out.join(facts.drop("rows"), "archive_key")
+
+
 #: Lines that are digested together.
 DIGEST_BLOCK = 1 << 16
 

@@ -74,3 +74,57 @@ def audit_panels(records: DataFrame) -> DataFrame:
 def download_report(jobs: DataFrame, receipts: DataFrame) -> dict:
     both = jobs.select("path", "size").join(receipts.select("path", F.lit(True).alias("there")), "path", "left")
     return one_row(both.agg(F.count(F.lit(1)).alias("wanted"), F.count("there").alias("downloaded"), F.coalesce(F.sum(F.when(F.col("there"), F.col("size"))), F.lit(0)).cast("bigint").alias("bytes")))
+
+
+#: Statuses with which a tool ends well.
+GOOD = frozenset({"pass", "partial_pass", "partial", "dry_run"})
+
+
+def exit_code(report: dict) -> int:
+    return 0 if report.get("status") in GOOD else 2
+
+
+def native_report(selected: DataFrame, files: DataFrame, settings: dict) -> dict:
+    """Native databases: what was selected by archive, how each was resumed, and a digest of the selection in order."""
+    import hashlib
+
+    per = {r["archive_key"]: {"members": r["members"], "bytes": r["bytes"]} for r in selection_report(selected).orderBy("archive_key").collect()}
+    digest = hashlib.sha256()
+    for r in selected.select("archive_key", "member_name").orderBy("archive_key", "member_name").toLocalIterator():
+        digest.update(f"{r[0]}\t{r[1]}\n".encode())
+    return {
+        "format": FORMATS["native"], "archives": per, "files": {r["status"]: r["count"] for r in files.groupBy("status").count().collect()}, "members": sum(x["members"] for x in per.values()),
+        "bytes": sum(x["bytes"] for x in per.values()), "selection_sha256": digest.hexdigest(), "settings": settings,
+    }
+
+
+def audit_report(anchors: DataFrame, ranges: DataFrame, violations: dict[str, int], full: bool) -> dict:
+    """Lineage audit: anchors, images by channel, frame counts, logs and databases referenced."""
+    by_channel = ranges.groupBy("channel").agg(F.sum("frame_count").cast("bigint").alias("images")).orderBy("channel").collect()
+    counts = ranges.groupBy("frame_count").count().orderBy("frame_count").collect()
+    return {
+        "status": status(bool(violations), not full), "anchors": anchors.count(), "logs": anchors.select("log_name").distinct().count(), "images_by_channel": {r["channel"]: r["images"] for r in by_channel},
+        "frame_counts": {str(r["frame_count"]): r["count"] for r in counts}, "violations": violations,
+    }
+
+
+def completion_marker(progress: DataFrame, metadata: DataFrame, ledger_sha256: str, states: list[str]) -> dict:
+    """Written by a relay when every archive is complete; refused before."""
+    total = one_row(pack_summary(progress))
+    if not total["archives"] or total["complete"] != total["archives"]:
+        raise ValueError("archives are not complete")
+    return {"format": FORMATS["relay"], **total, "metadata": {r["key"]: r["value"] for r in metadata.collect()}, "ledger_sha256": ledger_sha256, "states": sorted(states)}
+
+
+def offload_manifest(moved: DataFrame, reason: str) -> dict:
+    packs = [r.asDict() for r in moved.orderBy("path").collect()]
+    return {"format": FORMATS["offload"], "reason": reason, "packs": packs, "bytes": sum(p["length"] for p in packs), "verified": all(p["verified"] for p in packs)}
+
+
+def visual_manifest(panels: DataFrame, records: DataFrame, seed: int) -> dict:
+    """Panels with their frame records; sound ones only make a manifest that passes."""
+    frames: dict[tuple, list] = {}
+    for r in records.orderBy("anchor_token", "channel", "position").collect():
+        frames.setdefault((r["anchor_token"], r["channel"]), []).append({k: r[k] for k in ("position", "stream_index", "image_token", "image_ts_us", "relative_us", "delta_us", "storage_kind", "sha256")})
+    found = [{**r.asDict(), "records": frames.get((r["anchor_token"], r["channel"]), [])} for r in panels.orderBy("anchor_token", "channel").collect()]
+    return {"format": FORMATS["visual"], "seed": seed, "status": "pass" if found and all(p["sound"] for p in found) else "fail", "panels": found}

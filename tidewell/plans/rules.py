@@ -267,3 +267,31 @@ def reject_held_out(paths: Sequence[str], markers: Sequence[str] = ("private_tes
         low = str(path).lower()
         if any(m in low for m in markers) or "test" in low.split("/"):
             raise ValueError(f"held-out data: {path}")
+
+
+def require_https(url: str) -> str:
+    """A base address without a trailing slash; anything but https is refused."""
+    from urllib.parse import urlsplit
+
+    parts = urlsplit(url)
+    if parts.scheme != "https" or not parts.hostname or parts.query or parts.fragment or parts.username:
+        raise ValueError(f"{url!r} is not a plain https address")
+    return url.rstrip("/")
+
+
+def check_arguments(tolerances: dict[str, int] | None = None, suffixes: dict[str, tuple[str | None, str]] | None = None, counts: dict[str, tuple[int | None, int, int]] | None = None) -> None:
+    """Of a tool's arguments: tolerances are not negative, (path, suffix) fit, (number, least, most) lie within; all faults are named together."""
+    faults = [f"{name} is negative" for name, v in (tolerances or {}).items() if v < 0]
+    faults += [f"{name} must end in {end}" for name, (path, end) in (suffixes or {}).items() if path and not path.lower().endswith(end)]
+    faults += [f"{name} must be {least} to {most}" for name, (n, least, most) in (counts or {}).items() if n is not None and not least <= n <= most]
+    if faults:
+        raise ValueError("; ".join(faults))
+
+
+def archive_list_rules(spark, archives: DataFrame, allowed: Sequence[str]) -> Rules:
+    """Archives (archive_key, listed_size) by base name: one of the allowed ones, no base name twice, sizes above zero."""
+    named = archives.withColumn("name", S.basename("archive_key"))
+    rules = Rules(spark)
+    rules.add("archives.known", named.where(~F.col("name").isin(list(allowed))), "archive_key")
+    rules.add("archives.unique", named.groupBy("name").count().where("count > 1"), "name", F.col("count"))
+    return rules.add("archives.size", named.where("listed_size is null or listed_size <= 0"), "archive_key", F.col("listed_size"))

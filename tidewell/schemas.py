@@ -95,6 +95,7 @@ KEYS = {
 FORMATS = {
     "history": "tidewell_history_index_v1", "inventory": "tidewell_inventory_v1", "ledger": "tidewell_ledger_v1", "pack": "tidewell_pack_state_v1",
     "storage": "tidewell_image_storage_v1", "offsets": "tidewell_tar_offsets_v1", "direct": "tidewell_direct_v1", "native": "tidewell_native_report_v1",
+    "relay": "tidewell_relay_complete_v1", "offload": "tidewell_offload_v1", "visual": "tidewell_visual_audit_v1",
 }
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .errors import ImagesUnavailable, IndexError_
@@ -149,12 +151,92 @@ def load_images(spark: SparkSession, histories: DataFrame, storage: DataFrame, r
     return each.select("anchor_token", "channel", "stream_index", F.col("blob_path").alias("destination")).join(checked.select("destination", "content"), "destination")
 
 
+def decode_images(images: DataFrame, decoder: Callable[[bytes], object]) -> DataFrame:
+    """Adds (height, width, pixels): rows of RGB bytes, as ``decoder`` makes them of the encoded image.
+
+    The engine has no decoder of its own.  One that does not give height by
+    width by 3 unsigned bytes, or raises, makes the image unavailable.
+    """
+
+    def decode(batches):
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            for k in range(0, len(batch), 4):
+                part, out = batch.iloc[k : k + 4], []
+                for r in part.itertuples():
+                    try:
+                        pixels = np.asarray(decoder(bytes(r.content)))
+                    except Exception as error:
+                        raise ImagesUnavailable(f"{r.destination}: {error}") from error
+                    if pixels.dtype != np.uint8 or pixels.ndim != 3 or pixels.shape[2] != 3 or 0 in pixels.shape:
+                        raise ImagesUnavailable(f"{r.destination}: decoded to {pixels.dtype} of shape {pixels.shape}")
+                    out.append((pixels.shape[0], pixels.shape[1], pixels.tobytes()))
+                yield pd.concat([part.drop(columns="content").reset_index(drop=True), pd.DataFrame(out, columns=["height", "width", "pixels"])], axis=1)
+
+    kept = images.drop("content")
+    fields = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes)
+    return images.select(*kept.columns, "content").mapInPandas(decode, f"{fields}, height int, width int, pixels binary")
+
+
+class ImageLoader:
+    """Histories with their images, from an index, a storage index and the folder of packs and files."""
+
+    def __init__(self, index: HistoryIndex, storage: DataFrame, root: str, decoder: Callable[[bytes], object] | None = None):
+        self.index, self.storage, self.root, self.decoder = index, validate_schema(storage, "image_storage"), root, decoder
+
+    @classmethod
+    def from_index_path(cls, spark: SparkSession, index: str, storage: str, root: str, decoder: Callable[[bytes], object] | None = None) -> ImageLoader:
+        tables = open_product(spark, storage, "storage")
+        return cls(HistoryIndex.open(spark, index), tables["image_storage"], root, decoder)
+
+    def load(self, tokens: DataFrame, channels: list[str] | None = None) -> DataFrame:
+        """One row an image: (anchor_token, channel, stream_index, position, image_ts_us, destination, content or pixels)."""
+        histories = self.index.histories(tokens, channels)
+        if self.decoder and histories.isEmpty():
+            raise IndexError_("no histories")
+        frames = histories.select("anchor_token", "channel", F.posexplode("frames").alias("position", "f")).select("anchor_token", "channel", "position", "f.stream_index", "f.image_ts_us")
+        images = load_images(self.index.spark, histories, self.storage, self.root)
+        if self.decoder:
+            once = images.select("destination", "content").dropDuplicates(["destination"])
+            images = images.drop("content").join(decode_images(once, self.decoder), "destination")
+        return images.join(frames, ["anchor_token", "channel", "stream_index"])
+
+    def load_anchor(self, token: str, channels: list[str] | None = None) -> DataFrame:
+        return self.load(self.index.spark.createDataFrame([(token,)], "token string"), channels)
+
+    def padded(self, tokens: DataFrame, size: int | None = None, channels: list[str] | None = None) -> DataFrame:
+        """(anchor_token, channel, timestamps_us, valid, images): arrays of one length; an image that is only padding is null."""
+        histories = self.index.histories(tokens, channels)
+        arrays = padded(histories, size)
+        value = "pixels" if self.decoder else "content"
+        images = self.load(tokens, channels).groupBy("anchor_token", "channel").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", value))), lambda x: x[value]).alias("images"))
+        filled = F.concat("images", F.array_repeat(F.lit(None).cast("binary"), F.size("timestamps_us") - F.size("images")))
+        return arrays.join(images, ["anchor_token", "channel"]).withColumn("images", filled)
+
+
+def retained_references(histories: DataFrame) -> DataFrame:
+    """Adds ``start_reference`` and ``end_reference``: the official images at a history's ends, each with token, time and path."""
+
+    def pick(token: str) -> Column:
+        f = F.try_element_at(F.filter("frames", lambda f: f["image_token"] == F.col(token)), F.lit(1))
+        return F.struct(*(f[c].alias(c) for c in ("image_token", "image_ts_us", "blob_path")))
+
+    return histories.withColumns({"start_reference": pick("start_image_token"), "end_reference": pick("end_image_token")})
+
+
 class MetadataAdapter:
     """Binds a scene loader's tokens to an index."""
 
     def __init__(self, index: HistoryIndex, tokens: DataFrame):
         self.index, self.wanted = index, tokens.select(S.token_norm("token").alias("token")).distinct()
 
+    @classmethod
+    def from_scene_loader(cls, index: HistoryIndex, loader) -> MetadataAdapter:
+        """Of any object with a list ``tokens``."""
+        return cls(index, index.spark.createDataFrame([(str(t),) for t in loader.tokens], "token string"))
+
     def tokens(self) -> DataFrame:
         return self.wanted.join(self.index.tokens(), "token", "left_semi")
 
