@@ -143,7 +143,8 @@ def native(spark: SparkSession, a: argparse.Namespace) -> dict:
         return {"status": "fail", "error": f"databases that are not in exactly one archive: {lost}"}
     selected = matched.select("match.*").withColumnRenamed("member_size", "size")
     present = _databases(spark, a.output)
-    strange = [r["path"] for r in L.unexpected_files(present, wanted.select(F.col("file").alias("path"))).orderBy("path").limit(8).collect()]
+    listed = spark.createDataFrame([(name,) for name in Store(spark, a.output).list(a.output)], "path string")  # empty files too
+    strange = [r["path"] for r in L.unexpected_files(listed, wanted.select(F.col("file").alias("path"))).orderBy("path").limit(8).collect()]
     if strange:
         return {"status": "fail", "error": f"databases that nobody asked for: {strange}"}
     if a.dry_run:
