@@ -9,9 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import basename, hex_token
-from .joins import interval_join
-
-
 def anchor_frames(rows: DataFrame, keys: Sequence[str], order: str, ts: str, history: int, future: int) -> DataFrame:
     """Adds to retained rows their 4-row style history: ``history_start_index/ts``, whether enough earlier and later rows exist."""
     w = W.partitionBy(*keys).orderBy(order)
@@ -50,29 +47,54 @@ def retained_match(rows: DataFrame, images: DataFrame, tolerance_us: int) -> Dat
 def resolve_lidar(anchors: DataFrame, lidar: DataFrame) -> DataFrame:
     """LiDAR record of each anchor: by token, and only where no token fits by time and file name.
 
-    ``lidar_candidates`` must be one; ``mapping_method`` names the way.
+    Both ways are one join, on keys tagged with the way; which counts is
+    decided when an anchor's hits are folded.  ``lidar_candidates`` must be
+    one; ``mapping_method`` names the way.
     """
+    fields = ["lidar_token", "lidar_ts_us", "lidar_scene_token", "lidar_filename"]
     points = lidar.select(
         "log_name", hex_token("token").alias("lidar_token"), F.col("ts_us").alias("lidar_ts_us"), hex_token("scene_token").alias("lidar_scene_token"), F.col("filename").alias("lidar_filename"),
     )
-    fields = ["lidar_token", "lidar_ts_us", "lidar_scene_token", "lidar_filename"]
-    best = [F.min(F.struct(*fields)).alias("hit"), F.count("lidar_token").alias("n")]
-    keyed = anchors.withColumn("_token", F.lower("anchor_token")).withColumn("_file", basename("lidar_path"))
-    by_token = keyed.join(points.withColumn("_token", F.col("lidar_token")), ["log_name", "_token"]).groupBy("log_name", "anchor_token").agg(*best)
-    left = keyed.join(by_token.select("log_name", "anchor_token"), ["log_name", "anchor_token"], "left_anti")
-    by_time = left.join(points.withColumn("_file", basename("lidar_filename")).withColumn("anchor_ts_us", F.col("lidar_ts_us")), ["log_name", "anchor_ts_us", "_file"]).groupBy("log_name", "anchor_token").agg(*best)
-    hits = by_token.withColumn("mapping_method", F.lit("native_lidar_token")).unionByName(by_time.withColumn("mapping_method", F.lit("native_lidar_timestamp_and_filename")))
-    out = anchors.join(hits, ["log_name", "anchor_token"], "left")
-    return out.select(*anchors.columns, *(F.col(f"hit.{f}").alias(f) for f in fields), F.coalesce("n", F.lit(0).cast("bigint")).alias("lidar_candidates"), "mapping_method")
-
-
-def history_ranges(anchors: DataFrame, images: DataFrame, keys: Sequence[str], start_ts: str, end_ts: str, ts: str, bin_us: int) -> DataFrame:
-    """Each anchor's images by time, both ends included, folded to one range: first and last index and time, and count."""
-    names = [c for c in anchors.columns]
-    pairs = interval_join(anchors, images.select(*keys, F.col(ts).alias("_ts"), F.col("stream_index").alias("_i")), keys, start_ts, end_ts, "_ts", bin_us)
-    return pairs.groupBy(*names).agg(
-        F.min("_i").alias("first_stream_index"), F.max("_i").alias("last_stream_index"), F.count(F.lit(1)).alias("frame_count"),
-        F.min_by("_ts", "_i").alias("first_ts_us"), F.max_by("_ts", "_i").alias("last_ts_us"),
+
+    def keyed(rows: DataFrame, keep: list, token: Column, ts: str, file: str) -> DataFrame:
+        by_file = F.concat(F.lit("f"), F.col(ts).cast("string"), F.lit("/"), basename(file))
+        return rows.select("log_name", *keep, F.explode(F.array(F.concat(F.lit("t"), token), by_file)).alias("_key")).where("_key is not null")
+
+    left = keyed(anchors, ["anchor_token"], F.lower("anchor_token"), "anchor_ts_us", "lidar_path")
+    right = keyed(points, [F.struct(*fields).alias("_hit")], F.col("lidar_token"), "lidar_ts_us", "lidar_filename")
+    by_token = F.col("_key").startswith("t")
+    hits = left.join(right, ["log_name", "_key"]).groupBy("log_name", "anchor_token").agg(
+        F.min(F.when(by_token, F.col("_hit"))).alias("_by_token"), F.count_if(by_token).alias("_tokens"), F.min(F.when(~by_token, F.col("_hit"))).alias("_by_file"), F.count_if(~by_token).alias("_files")
+    )
+    out, token = anchors.join(hits, ["log_name", "anchor_token"], "left"), F.col("_tokens") > 0
+    hit = F.when(token, F.col("_by_token")).otherwise(F.col("_by_file"))
+    method = F.when(token, "native_lidar_token").when(F.col("_files") > 0, "native_lidar_timestamp_and_filename")
+    return out.select(*anchors.columns, *(hit[f].alias(f) for f in fields), F.coalesce(F.when(token, F.col("_tokens")).otherwise(F.col("_files")), F.lit(0).cast("bigint")).alias("lidar_candidates"), method.alias("mapping_method"))
+
+
+def history_ranges(anchors: DataFrame, images: DataFrame, keys: Sequence[str], start_ts: str, end_ts: str, ts: str) -> DataFrame:
+    """Each anchor's images by time, both ends included, folded to one range: first and last index and time, and count.
+
+    Anchors' ends are merged into the stream as rows of their own: the images
+    before an end are a running count over one partitioning of the stream, so
+    there is no join and a window of any length costs two rows.  Anchors
+    without an image in their window are left out.
+    """
+    names = list(anchors.columns)
+    null = F.lit(None)
+    image = images.select(*keys, F.col(ts).alias("_at"), F.lit(1).alias("_kind"), null.cast(anchors.select(F.struct(*names)).schema[0].dataType).alias("_anchor"), F.struct(F.col("stream_index").alias("i"), F.col(ts).alias("t")).alias("_image"))
+    kind = image.schema["_image"].dataType
+    end = lambda at, n: anchors.select(*keys, F.col(at).alias("_at"), F.lit(n).alias("_kind"), F.struct(*names).alias("_anchor"), null.cast(kind).alias("_image"))
+    rows = image.unionByName(end(start_ts, 0)).unionByName(end(end_ts, 2))  # at one time: starts, images, ends
+    before = W.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, 0)
+    behind = W.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind"), F.desc("_image.i")).rowsBetween(W.unboundedPreceding, 0)
+    placed = rows.withColumns({"_n": F.count("_image").over(before), "_last": F.max("_image").over(before), "_next": F.last("_image", ignorenulls=True).over(behind)})
+    start, stop = F.col("_kind") == 0, F.col("_kind") == 2
+    both = placed.where("_kind <> 1").groupBy(*keys, "_anchor").agg(
+        F.max(F.when(start, F.col("_next"))).alias("_first"), F.max(F.when(stop, F.col("_last"))).alias("_end"), (F.max(F.when(stop, F.col("_n"))) - F.max(F.when(start, F.col("_n")))).alias("frame_count")
+    )
+    return both.where("frame_count > 0").select(
+        *(F.col(f"_anchor.{c}").alias(c) for c in names), F.col("_first.i").alias("first_stream_index"), F.col("_end.i").alias("last_stream_index"), "frame_count", F.col("_first.t").alias("first_ts_us"), F.col("_end.t").alias("last_ts_us")
     )
 
 

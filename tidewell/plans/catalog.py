@@ -74,7 +74,7 @@ def anchor_history(spark, sf_dir):
     FROM anc a JOIN img i ON a.stream_id = i.stream_id AND i.ts_us BETWEEN a.h0 AND a.ts_us GROUP BY 1, 2""")
 def history_time_window(spark, sf_dir):
     anc = anchors(spark, sf_dir).select("stream_id", F.col("image_token").alias("anchor_token"), "h0", F.col("ts_us").alias("anchor_ts_us"))
-    out = histories.history_ranges(anc, images(spark, sf_dir), ["stream_id"], "h0", "anchor_ts_us", "ts_us", 8 * GAP_US)
+    out = histories.history_ranges(anc, images(spark, sf_dir), ["stream_id"], "h0", "anchor_ts_us", "ts_us")
     return out.select("stream_id", "anchor_token", "first_stream_index", "last_stream_index", "frame_count")
 
 
@@ -86,6 +86,25 @@ def image_refcount(spark, sf_dir):
     return counted.where("reference_count > 0").select("stream_id", "image_token", "reference_count")
 
 
+@query("interval_join", f"""WITH {IMG} SELECT p.stream_id, p.image_token, count(*) AS near FROM img p JOIN img i ON p.stream_id = i.stream_id AND i.ts_us BETWEEN p.ts_us - {HOUR_US} AND p.ts_us + {HOUR_US} WHERE p.event_type = 'purchase' GROUP BY 1, 2""")
+def interval_join(spark, sf_dir):
+    img = images(spark, sf_dir)
+    rows = img.where("event_type = 'purchase'").select("stream_id", "image_token", (F.col("ts_us") - HOUR_US).alias("lo"), (F.col("ts_us") + HOUR_US).alias("hi"))
+    near = joins.interval_join(rows, img.select("stream_id", F.col("ts_us").alias("at")), ["stream_id"], "lo", "hi", "at", 4 * HOUR_US)
+    return near.groupBy("stream_id", "image_token").agg(F.count(F.lit(1)).alias("near"))
+
+
+@query("fallback_match", """WITH c AS (SELECT c_custkey, c_custkey AS k1, c_nationkey::BIGINT AS k2, c_custkey % 10 AS k3 FROM customer WHERE c_mktsegment = 'BUILDING'), o AS (SELECT o_orderkey, o_custkey AS k1, o_orderkey % 25 AS k2, o_orderkey % 10 AS k3 FROM orders),
+    d AS (SELECT o_orderkey, count(*) AS candidates, min(c_custkey) AS hit, 'first' AS method FROM o JOIN c USING (k1) GROUP BY 1),
+    r AS (SELECT o_orderkey, count(*) AS candidates, min(c_custkey) AS hit, 'second' AS method FROM o JOIN c USING (k2, k3) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM d) GROUP BY 1)
+    SELECT coalesce(m.method, 'none') AS method, coalesce(m.candidates, 0) AS candidates, count(*) AS n, sum(m.hit)::BIGINT AS hits FROM orders LEFT JOIN (SELECT * FROM d UNION ALL SELECT * FROM r) m USING (o_orderkey) GROUP BY 1, 2""")
+def fallback_match(spark, sf_dir):
+    right = read(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", F.col("c_custkey").alias("k1"), F.col("c_nationkey").cast("bigint").alias("k2"), (F.col("c_custkey") % 10).alias("k3"))
+    left = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k1"), (F.col("o_orderkey") % 25).alias("k2"), (F.col("o_orderkey") % 10).alias("k3"))
+    found = joins.fallback_match(left, "o_orderkey", right, "c_custkey", ["k1"], ["k2", "k3"])
+    return found.groupBy("method", "candidates").agg(F.count(F.lit(1)).alias("n"), F.sum("match").alias("hits"))
+
+
 @query("range_expand", f"""WITH {ANC} SELECT a.stream_id, a.image_token AS anchor_token, i.image_token FROM anc a JOIN img i ON a.stream_id = i.stream_id AND i.stream_index BETWEEN a.s0 AND a.stream_index""")
 def range_expand(spark, sf_dir):
     ranges = anchors(spark, sf_dir).select("stream_id", F.col("image_token").alias("anchor_token"), F.col("s0").alias("first_stream_index"), F.col("stream_index").alias("last_stream_index"))
