@@ -21,11 +21,12 @@ that is summed over the whole corpus and grows with it (COUNTERS).
    already linked with the one at hand.
 4. A cluster that is larger than a block is dealt out over blocks.  Blocks are
    joined first, then one set for each component found so far.  What then is
-   apart from the cluster's largest component is routed by prefixes again, now
-   in the order of exact counts within the cluster: sets meet where they share
-   a shingle that is rare there, whatever else tied them.  Of the pairs that
-   sizes, positions and bitmaps leave, the closest of any two components is
-   verified first, then what is still open, so the result is exact.
+   apart from the cluster's largest component visits blocks, but only those
+   that it is routed to by prefixes, now in the order of exact counts within
+   the cluster: it meets a block where they share a shingle that is rare in the
+   cluster, whatever else tied them, and where sizes and positions leave room.
+   Two sets that are similar and not yet linked so meet in a block: the result
+   is exact, and a task holds a block and as many visitors.
 
 Defined cases: words are runs of bytes other than ASCII white space, with A-Z
 lower-cased; with fewer words than n the whole sequence is the one shingle;
@@ -53,14 +54,14 @@ from .vec import U64, mix, shingle_sets, slices
 N = 5
 PERCENT = 80
 #: Least and most counters of the global order, one byte each when broadcast; between them there is one for each SHARE shingles.
-COUNTERS, MOST_COUNTERS, SHARE = 1 << 22, 1 << 26, 16
+COUNTERS, MOST_COUNTERS, SHARE = 1 << 22, 1 << 26, 24
 RANGES = 64
 #: Postings that a task holds at a time, about.
 BUCKET_POSTINGS = 2_000_000
 #: Nodes that meet in one shingle and are still compared pair by pair.
 PAIRWISE = 32
-#: Shingles in a block of a cluster.
-BLOCK_SHINGLES = 100_000
+#: Shingles and sets in a block of a cluster, about.
+BLOCK_SHINGLES, BLOCK_SETS = 200_000, 256
 #: Bits of the filter that picks the texts of clusters from the table.
 FILTER_BITS = 1 << 26
 BITMAP_BITS = 1 << 15
@@ -385,17 +386,15 @@ def _partners(postings: DataFrame, percent: int, buckets: int) -> DataFrame:
 
 
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, distance) node ids: ties, and the pairs whose bitmaps leave room for a link, with the distance of the bitmaps."""
+    """(a, b) node ids: ties, and the pairs whose bitmaps leave room for a link."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, _, tie, na, nb, da, db = (c.to_pylist() for c in batch.columns)
-            far = [0 if t else bitmap_distance(x, y) for t, x, y in zip(tie, da, db)]
-            ok = [d <= n + m - 2 * least_overlap(n + m, percent) for d, n, m in zip(far, na, nb)]
-            ok = [t or o for t, o in zip(tie, ok)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.int64())], ["a", "b", "distance"]).filter(pa.array(ok, pa.bool_()))
+            ok = [t or bitmap_distance(x, y) <= n + m - 2 * least_overlap(n + m, percent) for t, n, m, x, y in zip(tie, na, nb, da, db)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("ra", "rb", "tie", "na", "nb", "da", "db").mapInArrow(judge, "a long, b long, distance long")
+    return pairs.select("ra", "rb", "tie", "na", "nb", "da", "db").mapInArrow(judge, "a long, b long")
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
@@ -483,7 +482,7 @@ def ngram_join(
     work.drop("pairs", "near")
 
     sized = clusters.join(nodes.select("node", "n"), "node")
-    blocks = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("blocks"))
+    blocks = sized.groupBy("cluster").agg(_blocks(block_shingles))
     sized = sized.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     members = _texts_of(docs, sized.select("node", "n", "cluster", "blocks", "block"))
     many = blocks.where("blocks > 1").limit(1).count() > 0
@@ -491,7 +490,7 @@ def ngram_join(
         members = work.keep(members, "members")
     links = work.keep(_block_links(members.withColumn("known", F.col("node")), n, percent, order), "links-1")
     if many:
-        links = _across_blocks(members.where("blocks > 1"), nodes, links, n, percent, block_shingles, order, work)
+        links = _across_blocks(members.where("blocks > 1"), links, n, percent, block_shingles, order, work)
         work.drop("members")
     found = connected_components(links, work, "components")
     parts = nodes.select("sid", "sid2", "node").join(found, "node", "left").select("sid", "sid2", F.coalesce("component", "node").alias("component"))
@@ -500,50 +499,48 @@ def ngram_join(
     return out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
-def _across_blocks(members: DataFrame, nodes: DataFrame, links: DataFrame, n: int, percent: int, block_shingles: int, order, work: Workspace) -> DataFrame:
+def _blocks(shingles: int):
+    """Blocks that a cluster is dealt out over."""
+    return F.greatest(F.ceil(F.sum("n") / shingles), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long").alias("blocks")
+
+
+def _across_blocks(members: DataFrame, links: DataFrame, n: int, percent: int, block_shingles: int, order, work: Workspace) -> DataFrame:
     """All links of clusters that have several blocks."""
 
     def labelled(step: str) -> DataFrame:
-        """(cluster, node, n, known): each node with its component so far."""
+        """(cluster, node, n, block, known): each node with its component so far."""
         found = connected_components(links, work, step)
-        return work.keep(members.select("cluster", "node", "n").join(found, "node", "left").select("cluster", "node", "n", F.coalesce("component", "node").alias("known")), f"{step}-members")
+        return work.keep(members.select("cluster", "node", "n", "block").join(found, "node", "left").select("cluster", "node", "n", "block", F.coalesce("component", "node").alias("known")), f"{step}-members")
 
+    texts = members.select("node", "text")
     # one set for each component: near copies fall together here
-    now = labelled("across-1")
-    heads = now.where("node = known")  # a component is named by its least node
-    room = heads.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("blocks"))
+    heads = labelled("across-1").where("node = known").drop("block")  # a component is named by its least node
+    room = heads.groupBy("cluster").agg(_blocks(block_shingles))
     heads = heads.join(room, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), "blocks"))
-    heads = heads.join(members.select("node", "text"), "node")
-    links = work.keep(links.unionByName(_block_links(heads, n, percent, order)), "links-2")
+    links = work.keep(links.unionByName(_block_links(heads.join(texts, "node"), n, percent, order)), "links-2")
     now = labelled("across-2")
     sizes = now.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("cluster").agg(F.max(F.struct("size", "known"))["known"].alias("main"), F.count(F.lit(1)).alias("parts"))
     open_ = work.keep(now.join(largest.where("parts > 1"), "cluster").drop("parts"), "open")
     if open_.isEmpty():
         return links
-    met = routed_pairs(open_, members.select("node", "text"), n, percent)
-    left = nodes.select(F.col("node").alias("a"), F.col("node").alias("ra"), F.col("n").alias("na"), F.col("data").alias("da"))
-    right = nodes.select(F.col("node").alias("b"), F.col("node").alias("rb"), F.col("n").alias("nb"), F.col("data").alias("db"))
-    near = work.keep(_possible(met.withColumn("tie", F.lit(False)).join(left, "a").join(right, "b"), percent), "routed")
-    texts = members.select("node", "text")
-
-    def verified(pairs: DataFrame, step: str) -> DataFrame:
-        sides = pairs.select(F.col("a").alias("cluster"), F.col("b").alias("block"), F.explode(F.array("a", "b")).alias("node"))
-        rows = sides.join(texts, "node").withColumn("known", F.col("node"))
-        return work.keep(links.unionByName(_block_links(rows, n, percent, order)), step)
-
-    def between(now: DataFrame) -> DataFrame:
-        """The pairs whose ends are not yet in one component, with their components."""
-        side = lambda x: now.select(F.col("node").alias(x), F.col("known").alias(f"k{x}"))
-        return near.join(side("a"), "a").join(side("b"), "b").where("ka <> kb")
-
-    best = between(open_).groupBy(F.least("ka", "kb"), F.greatest("ka", "kb")).agg(F.min(F.struct("distance", "a", "b")).alias("x"))
-    links = verified(best.select("x.a", "x.b"), "links-3")
-    return verified(between(labelled("across-3")).select("a", "b"), "links-4")
-
-
-def routed_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) of (cluster, node, n, known, main): sets of one cluster in two components that meet in a prefix, in the order of exact counts within the cluster."""
+    visits = work.keep(routed_visits(open_, texts, n, percent), "visits")
+    # many visitors come in groups, each of which meets the block's own sets
+    groups = visits.join(open_.select("node", "n"), "node").groupBy("cluster", "block").agg(_blocks(block_shingles).alias("groups"))
+    place = (F.col("block") * (1 << 24) + F.col("group")).alias("block")
+    known = open_.select("node", "known")
+    guests = visits.join(groups, ["cluster", "block"]).withColumn("group", F.pmod(F.xxhash64("node", F.lit(1)), "groups")).select("cluster", place, "node")
+    hosts = open_.join(groups, ["cluster", "block"]).withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).select("cluster", place, "node")
+    more = _block_links(guests.unionByName(hosts).join(known, "node").join(texts, "node"), n, percent, order)
+    return work.keep(links.unionByName(more), "links-3")
+
+
+def routed_visits(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(cluster, node, block) of (cluster, node, n, block, known, main): blocks that a set apart from its cluster's main component has to visit.
+
+    A set of the block may be similar to it only if both hold one shingle in
+    their prefixes, in the order of exact counts within the cluster.
+    """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -559,10 +556,11 @@ def routed_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
     common = held.groupBy(*key).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     own = W.partitionBy("node")
     ranked = held.join(common, key).withColumns({"at": F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1})
-    prefix = ranked.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)).select(*key, "node", "at")
-    side = lambda rows, x: prefix.join(rows.select("node", "n", "known"), "node").select(*key, F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"at{x}"), F.col("known").alias(f"k{x}"))
-    small, large, left = F.least("na", "nb"), F.greatest("na", "nb"), F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    may = (F.col("ka") != F.col("kb")) & (100 * small >= percent * large) & (left * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
-    # any pair of components has one that is not the cluster's largest
-    met = side(open_.where("known <> main"), "a").join(side(open_, "b"), key).where(may)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    prefix = ranked.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)).select(*key, "node", "n", (F.col("n") - F.col("at")).alias("left"))
+    placed = prefix.join(open_.select("node", "block", "known", "main"), "node")
+    there = placed.groupBy(*key, "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("room"))
+    guests = placed.where("known <> main").select(*key, "node", "n", "left", F.col("block").alias("home"))
+    # the bounds on two sets, at their best over the block's; a set's own block has been joined
+    may = (F.col("block") != F.col("home")) & (100 * F.col("n") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("n"))
+    may &= F.least("left", "room") * (100 + percent) >= percent * (F.col("n") + F.col("low"))
+    return guests.join(there, key).where(may).select("cluster", "node", "block").distinct()
