@@ -38,8 +38,8 @@ TERMS = 1024
 #: Likelihood ratio (chi-square scale) from which a term counts as tied to the label; so many of the best go in at least.
 LEAST_TIE, FEW_TERMS = 8.0, 64
 #: Terms whose pairs are compared (the most variable ones), the gain in likelihood ratio from which a pair counts
-#: (two million pairs are tried, and chance alone gives about 30), and how many terms may go in by pairs.
-PAIR_TERMS, LEAST_GAIN, PAIRED = 2048, 40.0, 256
+#: (two million pairs are tried, and chance alone gives about 30: twice that), and how many terms may go in by pairs besides TERMS.
+PAIR_TERMS, LEAST_GAIN, PAIRED = 2048, 60.0, 256
 FACTORS = 8
 ROUNDS = 200
 #: Bytes of a word's heads that are terms beside the word, so that forms of a word not seen in the sample count.
@@ -121,7 +121,7 @@ class FactorizationMachine:
         seen = np.flatnonzero(total >= 3)
         tie = likelihood_ratio(with_label[seen].astype(float), total[seen].astype(float), int(positive.sum()), n)
         by_tie = np.lexsort((seen, -tie))
-        slot = seen[by_tie[: max(FEW_TERMS, int((tie >= LEAST_TIE).sum()))]][: terms - min(PAIRED, terms // 4)]
+        slot = seen[by_tie[: max(FEW_TERMS, int((tie >= LEAST_TIE).sum()))]][:terms]
         varied = np.minimum(total[seen], n - total[seen])
         some = np.sort(np.lexsort((seen, -varied))[:PAIR_TERMS])
         some = some[varied[some] >= 8]
