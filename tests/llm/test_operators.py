@@ -220,8 +220,9 @@ def near_copies(seed=3):
     return list(enumerate(rows)) + [(900, None), (901, ""), (902, " \n"), (903, "a b"), (904, "A  B"), (905, "b a")]
 
 
-@pytest.mark.parametrize("block", [ngram_join.BLOCK_SHINGLES, 300])
-def test_ngram_join(spark, block):
+@pytest.mark.parametrize("block, sets", [(ngram_join.BLOCK_SHINGLES, ngram_join.BLOCK_SETS), (300, ngram_join.BLOCK_SETS), (ngram_join.BLOCK_SHINGLES, 6)])
+def test_ngram_join(spark, monkeypatch, block, sets):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets)
     docs = near_copies()
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n long, sid string").repartition(4)
     got = {r["id"]: (r["n_shingles"], r["component"]) for r in ngram_join.ngram_join(df, counters=1 << 12, block_shingles=block).collect()}
@@ -233,7 +234,36 @@ def test_ngram_join(spark, block):
     assert got == {i: (len(s), links.find(i)) for i, s in sets.items()}
 
 
-def test_ngram_join_odd_rows(spark, odd, none):
+def brute_components(docs):
+    sets, links = {i: shingles(t) for i, t in docs}, components.UnionFind()
+    for a in sets:
+        for b in sets:
+            if b < a and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                links.union(a, b)
+    return {i: links.find(i) for i in sets}
+
+
+def test_ngram_join_where_the_order_says_nothing(spark):
+    """Unlike documents with shared passages, 1,000 shingles a counter: all are tied into one cluster, and still few pairs are looked at."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    passages = [words(30) for _ in range(12)]
+    docs = [" ".join([words(60), rng.choice(passages), words(10), rng.choice(passages)]) for _ in range(450)]
+    docs += [f"{docs[k]} more words" for k in range(0, 450, 30)] + [docs[7].replace(" ", "  ")]
+    docs = list(enumerate(docs))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r["id"]: r["component"] for r in ngram_join.ngram_join(df, counters=64, block_shingles=4_000).collect()}
+    want = brute_components(docs)
+    assert got == want and len(set(want.values())) == 450
+    sizes = spark.createDataFrame([(i, len(shingles(t)), i % 18, i, 0, 0) for i, t in docs], "node long, n long, block long, known long, main long, cluster long")
+    visits = {tuple(r) for r in ngram_join.routed_visits(sizes, df.select(F.col("doc_id").alias("node"), "text"), 5, 80).select("node", "block").collect()}
+    apart = [(a, b) for b, a in want.items() if a != b and a % 18 != b % 18]
+    assert apart and all((b, a % 18) in visits and (a == 0 or (a, b % 18) in visits) for a, b in apart) and len(visits) < len(docs) / 4
+
+
+@pytest.mark.parametrize("sets", [256, 1])
+def test_ngram_join_odd_rows(spark, odd, none, monkeypatch, sets):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets)
     got = ngram_join.ngram_join(odd, counters=1 << 12).collect()
     assert len(got) == len(ODD) and all((r["component"] is None) == (r["id"] is None) for r in got)
     assert {r["component"] for r in got if r["id"] == 4} == {3}
@@ -372,11 +402,20 @@ def test_pipeline(spark, data):
     for name, stage in STAGES:
         docs = work.keep(stage(spark, docs, data), name)
         if name == "tokens":
-            assert {r["doc_id"] for r in docs.collect()} == set(before)
+            import public_tokenizers
+            import tiktoken
+
+            public = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY)), special_tokens={})
+            got = {r["doc_id"]: np.frombuffer(r["token_ids"], "<u4").tolist() for r in docs.collect()}
+            assert got == {i: public.encode_ordinary(t or "") for i, t in before.items()}
             continue
         assert tuple(docs.columns) == COLUMNS
         now = {r["doc_id"]: r["text"] for r in docs.collect()}
-        if name == "lines":
+        if name == "quality":
+            labels, source = spark.read.parquet(f"{data}/labels.parquet"), spark.read.parquet(f"{data}/documents.parquet")
+            scores = quality.score_quality(source, quality.fit_quality(source, labels, F.lit(True))).collect()
+            assert set(now) == {r["id"] for r in scores if r["score"] >= 0.3} and all(before[i] == t for i, t in now.items())
+        elif name == "lines":
             assert now == {i: t for i, (_, _, t) in brute_lines(list(before.items())).items()}
         elif name == "near_duplicates":
             sets, links = {i: shingles(t) for i, t in before.items()}, components.UnionFind()
@@ -386,7 +425,110 @@ def test_pipeline(spark, data):
                         links.union(a, b)
             assert set(now) == {i for i in sets if links.find(i) == i}
         elif name == "decontaminate":
-            leaked = {i for i, t in before.items() if any(x in decontaminate.normalise(t or "") for x in items if len(x) >= decontaminate.MIN_CHARS)}
+            texts = {i: decontaminate.normalise(t or "") for i, t in before.items()}
+            leaked = {i for i, t in texts.items() if any(x in t for x in items)}
             assert set(now) <= set(before) - leaked
+            short = {i for i, t in texts.items() if len(t) < 1500}  # these against the whole definition
+            near = {i for i in short if any(decontaminate.least_distance(x, texts[i], int(decontaminate.EDIT_RATE * len(x))) for x in items if len(x) * 0.9 < len(texts[i]))}
+            assert set(now) & short == short - near
         before = now
     assert before and re.match("[a-z]", STAGES[0][0])
+
+
+def test_pipeline_stages_on_odd_tables(spark, data):
+    """Nulls, empty and long texts, repeated rows and ids, columns of clashing names, and no rows at all."""
+    from corpus_pipeline import COLUMNS, STAGES
+
+    long = "A line that is long enough to be counted, and in five documents at that."
+    rows = [*ODD, *((20 + k, f"{long}\nand the rest of number {k}") for k in range(6)), (20, long)]
+    made = spark.createDataFrame([(i, t, None, None, None, n, "id", 1, "x") for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, row long, id string, rest long, component string").repartition(3)
+    for name, stage in STAGES:
+        out = stage(spark, made, data)
+        got, none = out.collect(), stage(spark, made.limit(0), data).collect()
+        assert none == [], name
+        if name == "tokens":
+            assert len(got) == len(rows)
+            continue
+        assert tuple(out.columns) == COLUMNS, name
+        key = lambda i, t: (i is None, i or 0, t or "")
+        kept = sorted(key(r["doc_id"], r["text"]) for r in got)
+        if name == "lines":
+            last = {long: 25}
+            want = [(i, "\n".join(x for x in (t or "").split("\n") if last.get(x, i) == i)) for i, t in rows]
+            assert kept == sorted(key(i, t) for i, t in want)
+        elif name == "near_duplicates":  # rows of one id are one node, and rows without an id are none
+            links, sets = components.UnionFind(), [(i, shingles(t)) for i, t in rows if i is not None]
+            for i, a in sets:
+                for j, b in sets:
+                    if a and b and 100 * len(a & b) >= 80 * len(a | b) and i != j:
+                        links.union(i, j)
+            assert links.find(4) == 3 and links.find(25) == 20
+            assert kept == sorted(key(i, t) for i, t in rows if i is None or links.find(i) == i)
+        elif name == "decontaminate":
+            assert kept == sorted(key(i, t) for i, t in rows)
+        else:
+            assert set(kept) <= {key(i, t) for i, t in rows}
+
+
+def test_chat_query_reads_its_control_texts_back(spark, data):
+    """Every conversation of the table, and the one that holds the template's own marks."""
+    from tidewell.llm.queries import CONTROL_TEXT, queries
+
+    rows = [(r["conv_id"], r["turn"], r["role"] or "", r["text"] or "") for r in spark.read.parquet(f"{data}/conversations.parquet").collect()]
+    rows += [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
+    got = {r["conv_id"]: r for r in queries()["op9_chat_format"](spark, data).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for conv, r in got.items():
+        turns = sorted(x[1:] for x in rows if x[0] == conv)
+        target = "".join(x for _, role, x in turns if role == "assistant")
+        assert (r["n_turns"], r["turns_sha256"]) == (len(turns), hashlib.sha256("".join(f"{role}\n{x}\n" for _, role, x in turns).encode()).hexdigest())
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(target), hashlib.sha256(target.encode()).hexdigest()) and r["formatted_chars"] > sum(len(x) for _, _, x in turns)
+
+
+def test_bpe_query_as_the_public_library(spark, data):
+    import public_tokenizers
+    import tiktoken
+
+    from tidewell.llm.queries import queries
+
+    public = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY)), special_tokens={})
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in queries()["op2_bpe"](spark, data).collect()}
+    for r in spark.read.parquet(f"{data}/documents.parquet").collect():
+        ids = public.encode_ordinary(r["text"] or "")
+        assert got.pop(r["doc_id"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), sha(r["text"]))
+    assert not got
+
+
+def test_ngram_query_against_brute_force(spark, data):
+    from tidewell.llm.queries import queries
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    want = brute_components(docs)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries()["op8_ngram_join"](spark, data).collect()}
+    assert got == {i: (len(shingles(t)), want[i]) for i, t in docs} and len(set(want.values())) < len(docs)
+
+
+def test_toxicity_leaves_clean_documents_alone(spark):
+    from tidewell.llm.queries import queries
+
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = queries()["op5_toxicity"](spark, folder).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    clean = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert clean and sum(clean) <= 0.03 * len(clean)  # learnt on some 300 labels
+
+
+def test_workspaces_are_swept(spark):
+    import os
+
+    from tidewell.llm.common import swept
+
+    outside = Workspace(spark, "test")
+    kept = outside.keep(spark.range(3), "a")
+    with swept(spark):
+        inside = Workspace(spark, "test")
+        inside.keep(spark.range(3), "a")
+        inside.keep(spark.range(3), "b")
+        inside.drop("a")
+        assert not os.path.exists(inside.path("a")) and os.path.exists(inside.path("b"))
+    assert not os.path.exists(inside.root) and kept.count() == 3
