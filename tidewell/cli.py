@@ -444,7 +444,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     except (TidewellError, ValueError) as error:
         report = {"status": "fail" if isinstance(error, (StateConflict, ValueError)) else "error", "error": str(error)}
     report = {"tool": a.tool, **report}
-    if a.report:
+    if a.report and a.report.lower().endswith(".json"):
         Store(spark, a.report).replace_text(a.report, reports.to_document(report))
     return report
 
