@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from tidewell.plans import catalog_world
 from tidewell.plans.catalog import CATALOG
 
 
@@ -18,6 +19,21 @@ def db(data):
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_plan():
+    """The fleet is planned once for all queries on it; its tables are written ones."""
+    made, real = {}, catalog_world.fleet_plan
+
+    def once(spark, sf_dir, all_rows=False):
+        if (sf_dir, all_rows) not in made:
+            made[sf_dir, all_rows] = real(spark, sf_dir, all_rows)
+        return made[sf_dir, all_rows]
+
+    catalog_world.fleet_plan = once
+    yield
+    catalog_world.fleet_plan = real
+
+
 def rows(names, records):
     order = sorted(range(len(names)), key=lambda k: names[k])
     return sorted(str([names[k] for k in order]) + str([r[k] for k in order]) for r in records)

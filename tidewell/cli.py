@@ -101,6 +101,7 @@ def plan(spark: SparkSession, a: argparse.Namespace) -> dict:
         if a.inventory:
             json_lines(made.inventory.orderBy("blob_path")).write.mode("errorifexists").text(a.inventory)
             report["inventory"] = dict(zip(("rows", "digest"), row_digest(made.inventory)))
+    made.drop()
     return report
 
 

@@ -48,6 +48,12 @@ class Plan:
     inventory: DataFrame
     rules: R.Rules
     facts: dict = field(default_factory=dict)
+    scratch: Scratch | None = None
+
+    def drop(self) -> None:
+        """Delete the plan's intermediates; what has been published stays."""
+        if self.scratch:
+            self.scratch.drop()
 
     def tables(self) -> dict[str, DataFrame]:
         return {"metadata": self.metadata, "source_log": self.source_log, "anchor": self.anchor, "native_image": self.native_image, "anchor_camera": self.anchor_camera}
@@ -65,7 +71,8 @@ def plan_histories(
     default a ``publish.Scratch`` in the shared folder), which also cuts their
     lineage.
     """
-    keep = keep or Scratch(spark, shared_folder(spark)).keep
+    scratch = None if keep else Scratch(spark, shared_folder(spark))
+    keep = keep or scratch.keep
     partial = max_anchors is not None
     wanted = tokens.select(S.token_norm("token").alias("token")).distinct()
     picked = rows.withColumn("token", F.lower("token")).join(wanted, "token", "left_semi")
@@ -113,7 +120,7 @@ def plan_histories(
     })
     gaps = streams.capture_gaps(stream, NOMINAL_INTERVAL_US, cadence_tolerance_us)
     exceptions = histories.cadence_exceptions(rows.join(needed.select("log_name", "row_index").distinct(), ["log_name", "row_index"], "left_semi"), ["log_name"], "row_index", "ts_us", RETAINED_INTERVAL_US, two_hz_tolerance_us)
-    return Plan(anchors.select(*columns("anchor")), ranges.select(*columns("anchor_camera")), images, logs, metadata, inventory, rules, {"gaps": gaps, "exceptions": exceptions, "ranges": ranges})
+    return Plan(anchors.select(*columns("anchor")), ranges.select(*columns("anchor_camera")), images, logs, metadata, inventory, rules, {"gaps": gaps, "exceptions": exceptions, "ranges": ranges}, scratch)
 
 
 def plan_report(plan: Plan) -> dict:
