@@ -1,12 +1,15 @@
 """Scenarios of planning and reading: phase, irregular rows, capture gaps, overlap, drift, and each way to fail."""
 
+import json
 import tempfile
 
 import pytest
 
 from tidewell.errors import ImagesUnavailable, IndexError_, RuleViolation, StateConflict, TidewellError
-from tidewell.plans.planner import NativeLogs, plan_histories, plan_report
-from tidewell.plans.publish import Scratch, open_product, publish
+from tidewell.plans import catalog_world
+from tidewell.plans.planner import NativeLogs, gap_lengths, plan_counts, plan_histories, plan_report
+from tidewell.plans.publish import Scratch, Store, open_product, publish
+from tidewell.plans.reports import document_parts, to_document
 from tidewell.schemas import schema
 from tidewell.serving import HistoryIndex, MetadataAdapter, load_images, padded, with_gaps
 
@@ -76,6 +79,33 @@ def test_gap_is_kept_and_reported(spark):
     assert [f["image_ts_us"] for f in one["frames"]][7:9] == [1_700_000, 1_900_000] and one["gap_deltas_us"] == [200_000]
 
 
+def test_gap_lengths_stay_off_the_driver(spark, tmp_path, monkeypatch):
+    """Every gap has a length of its own: the counts bring one row at a time to the driver, and the histogram is read from a file."""
+    p = plan(spark, shift=lambda i, t: t + 100_000 * i + i * i if i else t)
+    brought, collect = [], type(p.anchor).collect
+    monkeypatch.setattr(type(p.anchor), "collect", lambda self: brought.append(found := collect(self)) or found)
+    counts = plan_counts(p)
+    assert counts["capture_gaps"] > 20 and all(len(rows) <= 1 for rows in brought)
+    lengths = {str(r["delta_us"]): r["count"] for r in collect(gap_lengths(p))}
+    del brought[:]
+    report = plan_report(p)
+    assert len(lengths) > 10 and report["gap_histogram"] == lengths and list(report["gap_histogram"]) == sorted(lengths)
+    assert all(report["gap_histogram"][k] == n for k, n in lengths.items()) and "1" not in report["gap_histogram"]
+    assert all(len(rows) < len(lengths) for rows in brought)
+    plain = json.dumps({**report, "gap_histogram": lengths}, sort_keys=True, indent=2)
+    assert to_document(report) == plain and to_document({"a": {}, "b": [1, {"c": "x\ny"}]}) == json.dumps({"a": {}, "b": [1, {"c": "x\ny"}]}, sort_keys=True, indent=2)
+    store = Store(spark, str(tmp_path))
+    store.replace_text(f"{tmp_path}/report.json", document_parts(report))
+    assert store.read_text(f"{tmp_path}/report.json") == plain
+
+
+def test_plan_report_query_brings_single_rows(spark, monkeypatch):
+    brought, collect = [], type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: brought.append(found := collect(self)) or found)
+    made = catalog_world.plan_report(spark, "/root/testdata/sf0.001")
+    assert max(map(len, brought), default=0) <= 1 and collect(made)[0]["capture_gaps"] > 100
+
+
 def test_overlap_shares_images(spark):
     p = plan(spark, images=21, rows=15, anchors=(3, 4), kept=(0, 5, 10, 15, 20), shift=lambda i, t: t)
     p.rules.enforce("plan")

@@ -446,13 +446,14 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         report = {"status": "fail" if isinstance(error, (StateConflict, ValueError)) else "error", "error": str(error)}
     report = {"tool": a.tool, **report}
     if a.report and a.report.lower().endswith(".json"):
-        Store(spark, a.report).replace_text(a.report, reports.to_document(report))
+        Store(spark, a.report).replace_text(a.report, reports.document_parts(report))
     return report
 
 
 def main(argv: list[str]) -> int:
     report = run(argv)
-    print(reports.to_document(report))
+    sys.stdout.writelines(reports.document_parts(report))
+    print()
     return reports.exit_code(report)
 
 
