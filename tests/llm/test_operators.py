@@ -71,6 +71,22 @@ def test_bpe_round_trip(spark, odd, none):
     assert bpe.bpe_decode(bpe.bpe_encode(none, ranks, bpe.KNOWN_PATTERN), ranks).collect() == []
 
 
+def test_bpe_decodes_in_the_encoding_worker(spark, data, odd, none):
+    import public_tokenizers
+
+    from tidewell.llm.queries import queries
+
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    for pattern in (bpe.KNOWN_PATTERN, r"\w+|\W+"):
+        apart = bpe.bpe_decode(bpe.bpe_encode(odd, ranks, pattern), ranks).collect()
+        once = bpe.bpe_encode(odd, ranks, pattern, decoded=True)
+        assert sorted(once.collect(), key=repr) == sorted(apart, key=repr) and once.columns == ["id", "n_tokens", "token_ids", "decoded"]
+    assert bpe.bpe_encode(none, ranks, bpe.KNOWN_PATTERN, decoded=True).collect() == []
+    # a second step in Python doubles the workers of a task, each with an encoder's caches in the end
+    plan = queries()["op2_bpe"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_url_filter(spark, monkeypatch):
     urls = [None, "", "no scheme", "http://EXAMPLE.org/es/a?x#y", "https://a.b.example.org/en/12", "x://org", "x://org/", "http://shop.com/cart", "http://user@h.com:80/de/", "http://u.com/fr/\nz", "http://zzz.net/x.org\n/y", "http://zzz.net/a.com\n/de/x", "http://a\nb.com/de/x"]
     df = spark.createDataFrame([(k, u, "rule", None) for k, u in enumerate(urls)], "page_id long, url string, rule string, html string")

@@ -331,11 +331,11 @@ def text_encoder(vocabulary: dict[bytes, int], unmade: frozenset[int], pattern:
 
 
 def _batches(columns: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
-    """Rows, the last field of each being the large one, in batches of bounded size."""
+    """Rows, all fields but two of each being bytes, in batches of bounded size."""
     held, size = [], 0
     for row in columns:
         held.append(row)
-        size += len(row[-1] or b"") + 64
+        size += sum(map(len, row[2:])) + 64
         if size >= OUT_BYTES:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*held), types)], names)
             held, size = [], 0
@@ -343,10 +343,25 @@ def _batches(columns: Iterator[tuple], names: list[str], types: list[pa.DataType
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*held), types)], names)
 
 
-def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """Each rank's token."""
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def decode_ids(table: list[bytes], ids: bytes) -> bytes:
+    return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(id, n_tokens, token_ids): ids are packed little-endian uint32, the layout that training readers map.
 
     The vocabulary is broadcast; it is a fixed file whose size does not depend on the data.
+    With ``decoded`` there is also what ``bpe_decode`` makes of the ids, in the
+    same worker: a second step of its own would double a task's workers, and as
+    Spark deals workers out anew, each would come to hold an encoder's caches.
     """
     shared = df.sparkSession.sparkContext.broadcast((ranks, unmade_tokens(ranks)))
 
@@ -363,9 +378,14 @@ def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
                 for lo, _, data, at in slices(batch.column(1)):
                     yield from ((keys[lo + k], len(ids) // 4, ids) for k, ids in enumerate(worker.encode_rows(data, at)))
 
-        yield from _batches(rows(), ["id", "n_tokens", "token_ids"], [pa.int64(), pa.int64(), pa.binary()])
+        if decoded:
+            table = token_table(vocabulary)
+            yield from _batches(((*row, decode_ids(table, row[-1])) for row in rows()), ["id", "n_tokens", "token_ids", "decoded"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+        else:
+            yield from _batches(rows(), ["id", "n_tokens", "token_ids"], [pa.int64(), pa.int64(), pa.binary()])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text")).mapInArrow(encode, "id long, n_tokens long, token_ids binary")
+    made = "id long, n_tokens long, token_ids binary" + ", decoded binary" * decoded
+    return df.select(F.col(id_col).cast("long").alias("id"), no_null(text_col).alias("text")).mapInArrow(encode, made)
 
 
 def bpe_decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -373,15 +393,13 @@ def bpe_decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [b""] * (max(shared.value.values()) + 1)
-        for token, rank in shared.value.items():
-            table[rank] = token
+        table = token_table(shared.value)
 
         def rows():
             for batch in batches:
                 for i, n, ids in zip(*(batch.column(c).to_pylist() for c in range(2)), batch.column(2)):
                     ids = ids.as_py()
-                    yield i, n, ids, b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+                    yield i, n, ids, decode_ids(table, ids)
 
         yield from _batches(rows(), ["id", "n_tokens", "token_ids", "decoded"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import VOCABULARY, bpe_decode, bpe_encode, load_ranks
+from .bpe import VOCABULARY, bpe_encode, load_ranks
 from .chat import format_chats, read_back
 from .common import table
 from .decontaminate import find_leaks
@@ -39,8 +39,8 @@ def op2_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None, pat
     import public_tokenizers
 
     ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
-    encoded = bpe_encode(table(spark, sf_dir, "documents"), ranks, pattern or public_tokenizers.PATTERN)
-    return bpe_decode(encoded, ranks).select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe_encode(table(spark, sf_dir, "documents"), ranks, pattern or public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
