@@ -219,6 +219,21 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "test"), "c").collect() == []
 
 
+@pytest.mark.parametrize("at_once", [400, 399])
+def test_components_of_few_links_take_no_rounds(spark, monkeypatch, at_once):
+    """200 links (after each task has shrunk its own) have 400 nodes at most: one step joins them if a task may hold so many, else rounds do, alike."""
+    monkeypatch.setattr(components, "LINKS_AT_ONCE", at_once)
+    links = [(k + 1, k) for k in range(150)] + [(1000 + k, 2000 + k % 7) for k in range(50)]
+    sets, written, keep = components.UnionFind(), [], Workspace.keep
+    for a, b in links:
+        sets.union(a, b)
+    monkeypatch.setattr(Workspace, "keep", lambda self, df, name: (written.append(name), keep(self, df, name))[1])
+    df = spark.createDataFrame(spark.sparkContext.parallelize(links, 200), "a long, b long")
+    got = [tuple(r) for r in components.connected_components(df, Workspace(spark, "test"), "c").collect()]
+    assert sorted(got) == sorted((x, sets.find(x)) for x in sets.up)
+    assert (written == ["c-0", "c-whole"]) if at_once == 400 else len(written) > 3
+
+
 def near_copies(seed=3):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))

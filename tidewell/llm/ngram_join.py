@@ -478,14 +478,15 @@ def ngram_join(
     left = nodes.select(F.col("sid").alias("a"), F.col("node").alias("ra"), F.col("n").alias("na"), F.col("data").alias("da"))
     right = nodes.select(F.col("sid").alias("b"), F.col("node").alias("rb"), F.col("n").alias("nb"), F.col("data").alias("db"))
     near = work.keep(_possible(pairs.join(left, "a").join(right, "b"), percent), "near")
-    clusters = work.keep(connected_components(near, work, "clusters").withColumnRenamed("component", "cluster"), "in-clusters")
+    clusters = connected_components(near, work, "clusters").withColumnRenamed("component", "cluster")
     work.drop("pairs", "near")
 
     sized = clusters.join(nodes.select("node", "n"), "node")
     blocks = sized.groupBy("cluster").agg(_blocks(block_shingles))
-    sized = sized.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    members = _texts_of(docs, sized.select("node", "n", "cluster", "blocks", "block"))
-    many = blocks.where("blocks > 1").limit(1).count() > 0
+    # written: it is read for the filter, for the texts and for the question below
+    sized = work.keep(sized.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).select("node", "n", "cluster", "blocks", "block"), "in-clusters")
+    members = _texts_of(docs, sized)
+    many = sized.where("blocks > 1").limit(1).count() > 0
     if many:  # texts of the clusters are read several times
         members = work.keep(members, "members")
     links = work.keep(_block_links(members.withColumn("known", F.col("node")), n, percent, order), "links-1")
